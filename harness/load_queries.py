@@ -1,0 +1,282 @@
+"""The warehouse itself: CSV files in, two incremental loads, published tables, and a trained model.
+
+Two loads (an earlier snapshot of the source, then the whole source) and one model run serve all queries of a
+session over the same files. They live in the cluster's shared folder until the application ends.
+"""
+
+from __future__ import annotations
+
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from harness import mapping
+from harness.operator_queries import FACT_COLUMNS
+from harness.registry import pick, query
+from parcelmart.operators import checks
+from parcelmart.plans import reporting
+from parcelmart.plans.late_model import run_late_model
+from parcelmart.plans.load import MONTH, core_tables, csv_sources, run_load, stage
+from parcelmart.plans.risk_views import open_orders_at_risk, test_risk_deciles
+from parcelmart.shared import scratch_path
+from parcelmart.sources.files import fingerprint
+from parcelmart.sources.published import PublishedTables
+from parcelmart.sources.staging import COLUMNS, as_text, typed
+
+FIRST_RUN, SECOND_RUN = datetime(2001, 3, 1, tzinfo=UTC), datetime(2001, 9, 1, tzinfo=UTC)
+
+# Enough trees for the given data, whose labels hardly depend on the features.
+TREES = 20
+
+_built: dict[tuple, str] = {}
+
+
+def _once(kind: str, spark: SparkSession, folder: str, build) -> str:
+    """The folder ``build`` filled, built again when the session or the given files have changed."""
+    key = (kind, spark.sparkContext.applicationId, fingerprint(spark, folder))
+    if key not in _built:
+        root = scratch_path(spark, kind)
+        build(root)
+        _built[key] = root
+    return _built[key]
+
+
+def warehouse(spark: SparkSession, folder: str) -> str:
+    def build(root: str) -> None:
+        run_load(spark, root, mapping.earlier_sources(spark, folder), run_ts=FIRST_RUN)
+        run_load(spark, root, mapping.sources(spark, folder), run_ts=SECOND_RUN)
+
+    return _once("warehouse", spark, folder, build)
+
+
+def modelled(spark: SparkSession, folder: str) -> str:
+    root = warehouse(spark, folder)
+    _once("model", spark, folder, lambda marker: run_late_model(spark, root, max_trees=TREES))
+    return root
+
+
+def published(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    tables = PublishedTables(spark, warehouse(spark, folder))
+    return tables.read(tables.latest(), table)
+
+
+def csv_folder(spark: SparkSession, folder: str) -> str:
+    """The eight staging tables as raw CSV files."""
+
+    def build(root: str) -> None:
+        for table, frame in mapping.sources(spark, folder).items():
+            text = as_text(table, frame)
+            text.write.options(header=True, quote='"', escape='"', emptyValue="").csv(f"{root}/{table}")
+
+    return _once("csv", spark, folder, build)
+
+
+def from_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    root = csv_folder(spark, folder)
+    return csv_sources(spark, {table: f"{root}/{table}" for table in COLUMNS})
+
+
+@query(
+    "s1_csv_reviews",
+    """SELECT review_id, order_id, review_score, title AS review_comment_title,
+              'said "fine", then:' || chr(10) || 'line ' || order_id AS review_comment_message,
+              CAST(answered_at AS VARCHAR) AS review_answer_timestamp FROM st_reviews""",
+)
+def csv_reviews(spark, folder):
+    """Quotes, commas and line breaks inside a field survive the way through a file."""
+    return typed("order_reviews", from_csv(spark, folder)["order_reviews"]).drop("review_creation_date")
+
+
+@query("s1_csv_order_items", pick("st_items", "order_id order_item_id product_id seller_id $price $freight_value"))
+def csv_items(spark, folder):
+    return typed("order_items", from_csv(spark, folder)["order_items"]).drop("shipping_limit_date")
+
+
+@query(
+    "s4_rows_loaded",
+    """SELECT 'customers' AS table_name, count(*) AS rows FROM st_customers
+       UNION ALL SELECT 'sellers', count(*) FROM st_sellers UNION ALL SELECT 'products', count(*) FROM st_products
+       UNION ALL SELECT 'category_translation', count(*) FROM st_translation
+       UNION ALL SELECT 'orders', count(*) FROM st_orders UNION ALL SELECT 'order_items', count(*) FROM st_items
+       UNION ALL SELECT 'order_payments', count(*) FROM st_payments
+       UNION ALL SELECT 'order_reviews', count(*) FROM st_reviews""",
+)
+def rows_loaded(spark, folder):
+    """Rows per file, as observed while the files are staged."""
+    tables = PublishedTables(spark, scratch_path(spark, "staging"))
+    rows = stage(tables, tables.draft(), from_csv(spark, folder))
+    return spark.createDataFrame(list(rows.items()), "table_name string, rows bigint")
+
+
+@query("s3_replaced_snapshot", pick("st_orders", "order_id order_status"))
+def replaced_snapshot(spark, folder):
+    """Staging holds the second snapshot only."""
+    return published(spark, folder, "staging/orders").select("order_id", "order_status")
+
+
+def _natural(spark, folder, fact: str) -> DataFrame:
+    """A published fact with the dimensions' own ids instead of the surrogate keys."""
+    core = core_tables(spark, warehouse(spark, folder))
+    frame = core[fact]
+    for name, natural in (("customer", "customer_unique_id"), ("product", "product_id"), ("seller", "seller_id")):
+        if f"{name}_key" in frame.columns:
+            frame = frame.join(core[f"dim_{name}"].select(f"{name}_key", natural), f"{name}_key").drop(f"{name}_key")
+    return frame.drop(MONTH)
+
+
+@query(
+    "m3_order_items_after_two_loads",
+    pick("f_items", "order_id order_item_id customer_unique_id product_id seller_id purchase_date_key $price $freight_value"),
+)
+def items_after_two_loads(spark, folder):
+    return _natural(spark, folder, "fact_order_items")
+
+
+@query(
+    "m5_orders_after_two_loads",
+    f"""{pick('f_orders', FACT_COLUMNS + ' @order_updated_at').replace(' FROM f_orders', '')},
+        CASE WHEN order_id IN (SELECT order_id FROM a_orders) THEN '2001-03-01' ELSE '2001-09-01' END AS first_loaded,
+        CASE WHEN order_id IN (SELECT order_id FROM b_batch) THEN '2001-09-01' ELSE '2001-03-01' END AS last_loaded
+        FROM f_orders""",
+)
+def orders_after_two_loads(spark, folder):
+    """Changed orders keep the time of their first load."""
+    orders = _natural(spark, folder, "fact_orders")
+    return orders.select(
+        "*",
+        F.date_format("etl_inserted_at", "yyyy-MM-dd").alias("first_loaded"),
+        F.date_format("etl_updated_at", "yyyy-MM-dd").alias("last_loaded"),
+    ).drop("etl_inserted_at", "etl_updated_at")
+
+
+@query(
+    "m6_load_log",
+    """SELECT 'fact_orders' AS pipeline_name, CAST(NULL AS VARCHAR) AS watermark_before,
+              CAST(max(order_updated_at) AS VARCHAR) AS watermark_after, count(*) AS rows_new, 0 AS rows_changed,
+              '2001-03-01' AS run_day, false AS full_refresh FROM a_updated
+       UNION ALL
+       SELECT 'fact_orders', (SELECT CAST(max(order_updated_at) AS VARCHAR) FROM a_updated),
+              CAST(max(order_updated_at) AS VARCHAR), count(*) FILTER (WHERE change_type = 'new'),
+              count(*) FILTER (WHERE change_type = 'changed'), '2001-09-01', false FROM b_batch""",
+)
+def load_log(spark, folder):
+    return published(spark, folder, "etl/load_log").select(
+        "pipeline_name", "watermark_before", "watermark_after", "rows_new", "rows_changed",
+        F.date_format("run_at", "yyyy-MM-dd").alias("run_day"), "full_refresh",
+    )
+
+
+@query(
+    "m7_watermark",
+    "SELECT 'fact_orders' AS pipeline_name, CAST(max(order_updated_at) AS VARCHAR) AS last_watermark FROM updated_orders",
+)
+def watermark(spark, folder):
+    return published(spark, folder, "etl/watermark").select("pipeline_name", "last_watermark")
+
+
+@query(
+    "m8_customer_keys",
+    """SELECT count(*) AS customers, count(*) AS keys, 1 AS lowest, count(*) AS highest FROM dim_customer""",
+)
+def customer_keys(spark, folder):
+    """After two loads the keys are still unique and without gaps."""
+    return published(spark, folder, "core/dim_customer").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_distinct("customer_key").alias("keys"),
+        F.min("customer_key").alias("lowest"),
+        F.max("customer_key").alias("highest"),
+    )
+
+
+@query("c4_published_orphans", "SELECT 'none' AS column_name, 0 AS orphans FROM region WHERE false")
+def published_orphans(spark, folder):
+    """Fact keys without their dimension row, per key column; there must be none."""
+    core = core_tables(spark, warehouse(spark, folder))
+    parents = {"customer_key": "dim_customer", "product_key": "dim_product", "seller_key": "dim_seller"}
+    found = []
+    for fact in ("fact_orders", "fact_order_items"):
+        for column in core[fact].columns:
+            if not column.endswith("_key"):
+                continue
+            parent, key = (parents[column], column) if column in parents else ("dim_date", "date_key")
+            orphans = checks.orphan_keys(core[fact], column, core[parent], key)
+            found.append(orphans.select(F.lit(f"{fact}.{column}").alias("column_name")))
+    every = found[0]
+    for one in found[1:]:
+        every = every.unionByName(one)
+    return every.groupBy("column_name").agg(F.count(F.lit(1)).alias("orphans"))
+
+
+query(
+    "r1_monthly_sales_published",
+    pick("monthly", "year_month year month orders customers $revenue $freight $avg_order_value"),
+)(lambda spark, folder: _published_report(spark, folder, "r1"))
+query("r2_sales_by_category_published", pick("categories", "category items_sold orders $revenue $avg_item_price"))(
+    lambda spark, folder: _published_report(spark, folder, "r2")
+)
+query(
+    "r3_delivery_by_state_published",
+    pick("states", "state delivered_orders $avg_delivery_days $late_pct $avg_review_score"),
+)(lambda spark, folder: _published_report(spark, folder, "r3"))
+query(
+    "r4_seller_scorecard_published",
+    pick("seller_card", "seller_id city state items_sold orders $revenue $avg_review_score"),
+)(lambda spark, folder: _published_report(spark, folder, "r4"))
+query("r5_payment_methods_published", pick("methods", "payment_type orders $total_paid $avg_installments"))(
+    lambda spark, folder: _published_report(spark, folder, "r5")
+)
+
+
+def reports(core: dict[str, DataFrame]) -> dict:
+    """The five reports over published tables, built on demand."""
+    return {
+        "r1": lambda: reporting.monthly_sales(core["fact_orders"], core["dim_date"]),
+        "r2": lambda: reporting.sales_by_category(core["fact_order_items"], core["fact_orders"], core["dim_product"]),
+        "r3": lambda: reporting.delivery_by_state(core["fact_orders"], core["dim_customer"]),
+        "r4": lambda: reporting.seller_scorecard(core["fact_order_items"], core["fact_orders"], core["dim_seller"]),
+        "r5": lambda: reporting.payment_methods(core["fact_orders"]),
+    }
+
+
+def _published_report(spark, folder, name: str) -> DataFrame:
+    return reports(core_tables(spark, warehouse(spark, folder)))[name]()
+
+
+# ---- the trained model: rows only, its scores have no SQL counterpart
+
+
+def _ml(spark, folder, table: str) -> DataFrame:
+    tables = PublishedTables(spark, modelled(spark, folder))
+    return tables.read(tables.latest(), f"ml/{table}")
+
+
+query("l10_feature_importance")(
+    lambda spark, folder: _ml(spark, folder, "feature_importance")
+    .select("feature", "importance_pct")
+    .orderBy(F.col("importance_pct").desc(), "feature")
+)
+query("l12_model_run")(
+    lambda spark, folder: _ml(spark, folder, "model_runs").drop("run_id", "trained_at", "model_path")
+)
+query(
+    "l15_prediction_counts",
+    """SELECT data_split, count(*) AS orders, count(CASE WHEN is_late = 1 THEN 1 END) AS late FROM splits
+       WHERE data_split IN ('test', 'open') GROUP BY data_split""",
+)(
+    lambda spark, folder: _ml(spark, folder, "order_late_predictions")
+    .groupBy("data_split")
+    .agg(F.count(F.lit(1)).alias("orders"), F.count_if("actual_is_late").alias("late"))
+)
+
+
+@query("l13_model_orders_at_risk")
+def model_orders_at_risk(spark, folder):
+    core = core_tables(spark, modelled(spark, folder))
+    predictions = _ml(spark, folder, "order_late_predictions")
+    return open_orders_at_risk(predictions, core["fact_orders"], core["dim_customer"])
+
+
+@query("l14_model_deciles")
+def model_deciles(spark, folder):
+    return test_risk_deciles(_ml(spark, folder, "order_late_predictions")).orderBy("risk_group")

@@ -16,8 +16,17 @@ FIRST_MONTH, LAST_MONTH = "1999-01", "2000-08"
 SNAPSHOT_TIME = datetime(2001, 3, 1)
 
 
-def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+class Given:
+    """The given tables of one folder; each is opened once, however many staging tables draw on it."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self._opened: dict[str, DataFrame] = {}
+
+    def __call__(self, table: str) -> DataFrame:
+        if table not in self._opened:
+            self._opened[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._opened[table]
 
 
 def _after(moment, days=0, hours=0):
@@ -28,14 +37,14 @@ def _id(column: str):
     return F.col(column).cast("string")
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
+def orders(given: Given) -> DataFrame:
     key, placed = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp_ntz")
     kind = key % 50
     status = (
         F.when(kind == 0, "canceled").when(kind == 1, "unavailable").when(kind < 5, "shipped").otherwise("delivered")
     )
     delivered = F.when((kind >= 5) & (key % 97 != 5), _after(placed, days=3 + (key * 7919) % 38))
-    return _read(spark, folder, "orders").select(
+    return given("orders").select(
         _id("o_orderkey").alias("order_id"),
         _id("o_orderkey").alias("customer_id"),
         status.alias("order_status"),
@@ -47,11 +56,11 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def customers(spark: SparkSession, folder: str) -> DataFrame:
+def customers(given: Given) -> DataFrame:
     """One row per order; a person's state changes between orders."""
-    nation = _read(spark, folder, "nation").select("n_nationkey", "n_name")
-    people = _read(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    placed = _read(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    nation = given("nation").select("n_nationkey", "n_name")
+    people = given("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    placed = given("orders").select("o_orderkey", "o_custkey")
     return (
         placed.join(people, F.col("o_custkey") == F.col("c_custkey"))
         .withColumn("_nation", ((F.col("c_nationkey") + F.col("o_orderkey") % 3) % 25).cast("int"))
@@ -66,14 +75,19 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, folder: str) -> DataFrame:
+def customer_ids(given: Given) -> DataFrame:
+    """The person behind each order, without the address; no given order lacks its customer."""
+    return given("orders").select(_id("o_orderkey").alias("customer_id"), _id("o_custkey").alias("customer_unique_id"))
+
+
+def order_items(given: Given) -> DataFrame:
     every_column = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus",
     )
     price = F.col("l_extendedprice").cast("decimal(10,2)")
     freight = (price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(10,2)")
-    return _read(spark, folder, "lineitem").select(
+    return given("lineitem").select(
         _id("l_orderkey").alias("order_id"),
         F.row_number().over(every_column).alias("order_item_id"),
         _id("l_partkey").alias("product_id"),
@@ -84,7 +98,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_payments(spark: SparkSession, folder: str) -> DataFrame:
+def order_payments(given: Given) -> DataFrame:
     key, priority = F.col("o_orderkey"), F.substring("o_orderpriority", 1, 1)
     method = (
         F.when(priority.isin("1", "2"), "credit_card")
@@ -105,13 +119,13 @@ def order_payments(spark: SparkSession, folder: str) -> DataFrame:
     second = payment(2, F.lit("voucher"), F.lit(1), F.lit(5))
     paid = F.when(key % 89 == 0, F.array()).when(key % 7 == 0, F.array(first, second)).otherwise(F.array(first))
     return (
-        _read(spark, folder, "orders")
+        given("orders")
         .select(_id("o_orderkey").alias("order_id"), F.explode(paid).alias("payment"))
         .select("order_id", "payment.*")
     )
 
 
-def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
+def order_reviews(given: Given) -> DataFrame:
     key, placed = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp_ntz")
 
     def review(number, score, days):
@@ -125,18 +139,18 @@ def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     first, second = review(1, 1 + (key * 31) % 5, 45), review(2, 1 + key % 5, 50)
-    given = F.when(key % 31 == 0, F.array()).when(key % 11 == 0, F.array(first, second)).otherwise(F.array(first))
+    written = F.when(key % 31 == 0, F.array()).when(key % 11 == 0, F.array(first, second)).otherwise(F.array(first))
     return (
-        _read(spark, folder, "orders")
-        .select(_id("o_orderkey").alias("order_id"), F.explode(given).alias("review"))
+        given("orders")
+        .select(_id("o_orderkey").alias("order_id"), F.explode(written).alias("review"))
         .select("order_id", "review.*")
     )
 
 
-def products(spark: SparkSession, folder: str) -> DataFrame:
+def products(given: Given) -> DataFrame:
     """Measures as text, as in the files: the weight ends in .5 and is sometimes empty."""
     key, size = F.col("p_partkey"), F.col("p_size")
-    return _read(spark, folder, "part").select(
+    return given("part").select(
         _id("p_partkey").alias("product_id"),
         F.when(key % 40 == 0, "").otherwise(F.col("p_brand")).alias("product_category_name"),
         F.length("p_name").cast("string").alias("product_name_lenght"),
@@ -149,10 +163,10 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def category_translation(spark: SparkSession, folder: str) -> DataFrame:
+def category_translation(given: Given) -> DataFrame:
     """One brand has no translation."""
     return (
-        _read(spark, folder, "part")
+        given("part")
         .select(F.col("p_brand").alias("product_category_name"))
         .where(F.col("product_category_name") != "Brand#1")
         .distinct()
@@ -160,10 +174,10 @@ def category_translation(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sellers(spark: SparkSession, folder: str) -> DataFrame:
-    nation = _read(spark, folder, "nation").select("n_nationkey", "n_name")
+def sellers(given: Given) -> DataFrame:
+    nation = given("nation").select("n_nationkey", "n_name")
     return (
-        _read(spark, folder, "supplier")
+        given("supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             _id("s_suppkey").alias("seller_id"),
@@ -186,18 +200,19 @@ BUILDERS = {
 }
 
 
-def source(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def source(given: Given, table: str) -> DataFrame:
     """One staging table as the source delivers it."""
-    return BUILDERS[table](spark, folder)
+    return BUILDERS[table](given)
 
 
-def staged(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def staged(given: Given, table: str) -> DataFrame:
     """One staging table with typed columns."""
-    return typed(table, source(spark, folder, table))
+    return typed(table, source(given, table))
 
 
 def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {table: source(spark, folder, table) for table in BUILDERS}
+    given = Given(spark, folder)
+    return {table: source(given, table) for table in BUILDERS}
 
 
 def earlier_sources(spark: SparkSession, folder: str, moment: datetime = SNAPSHOT_TIME) -> dict[str, DataFrame]:

@@ -5,8 +5,6 @@ Without a load there are no surrogate keys; each dimension's own id serves as it
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +15,10 @@ from parcelmart.plans import dimensions, facts
 
 class Star:
     def __init__(self, spark: SparkSession, folder: str):
-        self.staged = partial(mapping.staged, spark, folder)
+        self.given = mapping.Given(spark, folder)
+
+    def staged(self, table: str) -> DataFrame:
+        return mapping.staged(self.given, table)
 
     def dim_date(self) -> DataFrame:
         return dimensions.dim_date(self.staged("orders"))
@@ -34,7 +35,7 @@ class Star:
         return dimensions.dim_seller(self.staged("sellers")).withColumn("seller_key", F.col("seller_id"))
 
     def order_keys(self) -> DataFrame:
-        return facts.order_customers(self.staged("orders"), self.staged("customers")).select(
+        return facts.order_customers(self.staged("orders"), mapping.customer_ids(self.given)).select(
             "order_id", "customer_key", date_key(F.col("order_purchase_timestamp")).alias("purchase_date_key")
         )
 
@@ -58,11 +59,16 @@ class Star:
         """All columns, or the named ones; the customer lookup is skipped when nobody asks for its key."""
         orders = self.staged("orders")
         if not columns or "customer_key" in columns:
-            orders = facts.order_customers(orders, self.staged("customers"))
+            orders = facts.order_customers(orders, mapping.customer_ids(self.given))
+        wanted = set(columns)
+
+        def child(child_columns, build):
+            return build() if not wanted or wanted & child_columns else None
+
         return facts.order_facts(
             orders,
-            self.order_lines(),
-            self.staged("order_payments"),
-            self.staged("order_reviews"),
+            child(facts.ITEM_COLUMNS, self.order_lines),
+            child(facts.PAYMENT_COLUMNS, lambda: self.staged("order_payments")),
+            child(facts.REVIEW_COLUMNS, lambda: self.staged("order_reviews")),
             list(columns) or None,
         )

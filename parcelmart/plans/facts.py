@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from parcelmart.functions.dates import date_key, days_between
 from parcelmart.operators.picking import first_by, latest_per_key
 
-_ITEM_COLUMNS = {"items_count", "items_value", "freight_value"}
-_PAYMENT_COLUMNS = {"payment_type", "payment_installments", "payment_value"}
-_REVIEW_COLUMNS = {"review_score"}
+ITEM_COLUMNS = {"items_count", "items_value", "freight_value"}
+PAYMENT_COLUMNS = {"payment_type", "payment_installments", "payment_value"}
+REVIEW_COLUMNS = {"review_score"}
 
 
 def order_items(lines: DataFrame, order_keys: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
@@ -72,15 +72,15 @@ def order_customers(orders: DataFrame, customers: DataFrame, dim_customer: DataF
 
 def order_facts(
     orders: DataFrame,
-    order_lines: DataFrame,
-    payments: DataFrame,
-    reviews: DataFrame,
+    order_lines: DataFrame | None,
+    payments: DataFrame | None,
+    reviews: DataFrame | None,
     columns: list[str] | None = None,
 ) -> DataFrame:
     """One row per order; ``orders`` carries ``customer_key``, ``order_lines`` has price and freight_value.
 
     Catalyst cannot see that a child is unique per order, so it keeps a left join nobody reads from. Naming the
-    wanted ``columns`` leaves such a child out.
+    wanted ``columns`` leaves such a child out; it may then be None.
     """
     wanted = None if columns is None else set(columns)
 
@@ -88,11 +88,11 @@ def order_facts(
         return wanted is None or bool(wanted & child_columns)
 
     joined = orders
-    if needed(_ITEM_COLUMNS):
+    if needed(ITEM_COLUMNS):
         joined = joined.join(items_per_order(order_lines), "order_id", "left")
-    if needed(_PAYMENT_COLUMNS):
+    if needed(PAYMENT_COLUMNS):
         joined = joined.join(payments_per_order(payments), "order_id", "left")
-    if needed(_REVIEW_COLUMNS):
+    if needed(REVIEW_COLUMNS):
         joined = joined.join(review_per_order(reviews), "order_id", "left")
 
     purchased = F.col("order_purchase_timestamp")

@@ -20,7 +20,7 @@ from parcelmart.plans.batch import batch_summary, moved_watermark, seed_watermar
 from parcelmart.sources.published import PublishedTables, Version
 from parcelmart.sources.staging import COLUMNS, read_csv, require_files, typed
 
-MONTH = "purchase_month"
+MONTH = "month_part"
 
 # Columns that must hold a value, and the allowed change types.
 REQUIRED = {
@@ -110,8 +110,8 @@ def _with_load_times(fresh: DataFrame, existing: DataFrame | None, months: set[i
 def _touched_months(batch: DataFrame) -> set[int]:
     """Months the batch orders are in now or were in before: at most one value per calendar month."""
     keys = F.array(date_key(F.col("order_purchase_timestamp")), F.col("loaded_date_key"))
-    months = batch.select(month_of_key(F.explode(keys)).alias("month")).where("month is not null").distinct()
-    return {row.month for row in months.collect()}
+    days = batch.select(F.explode(keys).alias("day")).where(F.col("day").isNotNull())
+    return {row.month for row in days.select(month_of_key(F.col("day")).alias("month")).distinct().collect()}
 
 
 def run_load(

@@ -52,3 +52,9 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).deleteOnExit(_path(spark, path))
+
+
+def fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Path, length and modification time of every file in ``folder``: differs when its content was replaced."""
+    entries = _file_system(spark, folder).listStatus(_path(spark, folder))
+    return tuple(sorted((e.getPath().toString(), e.getLen(), e.getModificationTime()) for e in entries))
