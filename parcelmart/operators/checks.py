@@ -28,6 +28,18 @@ def null_counts(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.agg(*[F.count_if(F.col(column).isNull()).alias(column) for column in columns])
 
 
+def key_summary(frame: DataFrame, key: list[str], required: list[str]) -> DataFrame:
+    """One row from one pass: the most rows any key has, and the nulls of each required column."""
+    per_key = frame.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(column).isNull()).alias(f"_{column}") for column in required],
+    )
+    return per_key.agg(
+        F.coalesce(F.max("_rows"), F.lit(0)).alias("rows_per_key"),
+        *[F.coalesce(F.sum(f"_{column}"), F.lit(0)).alias(column) for column in required],
+    )
+
+
 def outside_domain(frame: DataFrame, column: str, allowed: list) -> DataFrame:
     """Non-null values other than the allowed ones, with their row counts."""
     return (
@@ -43,6 +55,16 @@ def require_none(violations: DataFrame, message: str) -> None:
         raise CheckFailed(f"{message}, for example {example[0].asDict()}")
 
 
+def require_keyed(frame: DataFrame, key: list[str], required: list[str], name: str) -> None:
+    """Unique key and no nulls in the required columns."""
+    found = key_summary(frame, key, required).first().asDict()
+    if found.pop("rows_per_key") > 1:
+        raise CheckFailed(f"{name}: {', '.join(key)} repeats")
+    empty = {column: rows for column, rows in found.items() if rows}
+    if empty:
+        raise CheckFailed(f"{name}: null in columns that need a value: {empty}")
+
+
 def require_no_nulls(frame: DataFrame, *columns: str) -> None:
     counts = null_counts(frame, *columns).first().asDict()
     empty = {column: rows for column, rows in counts.items() if rows}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from parcelmart.operators import checks
 from parcelmart.operators.keys import upsert_dimension
 from parcelmart.plans import dimensions, facts
 from parcelmart.plans.batch import batch_summary, moved_watermark, seed_watermark, select_batch
+from parcelmart.shared import side_by_side
 from parcelmart.sources.published import PublishedTables, Version
 from parcelmart.sources.staging import COLUMNS, read_csv, require_files, typed
 
@@ -49,33 +51,41 @@ def csv_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFra
 
 def stage(tables: PublishedTables, version: Version, sources: dict[str, DataFrame]) -> dict[str, int]:
     """Replace the staging snapshot; the row counts are observed while writing."""
-    rows = {}
-    for table in COLUMNS:
+
+    def write(table: str) -> int:
         observed = Observation(f"staged_{table}")
-        counted = sources[table].observe(observed, F.count(F.lit(1)).alias("rows"))
-        tables.write(version, f"staging/{table}", counted)
-        rows[table] = observed.get["rows"]
-    return rows
+        tables.write(version, f"staging/{table}", sources[table].observe(observed, F.count(F.lit(1)).alias("rows")))
+        return observed.get["rows"]
+
+    return dict(zip(COLUMNS, side_by_side(tables.spark, (partial(write, table) for table in COLUMNS)), strict=True))
 
 
 def update_dimensions(tables: PublishedTables, version: Version, staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    built = {
-        "dim_customer": (dimensions.dim_customer(staged["customers"], staged["orders"]), "customer_unique_id"),
-        "dim_product": (dimensions.dim_product(staged["products"], staged["category_translation"]), "product_id"),
-        "dim_seller": (dimensions.dim_seller(staged["sellers"]), "seller_id"),
-    }
-    existing_days = tables.read(version, "core/dim_date")
-    updated = {
-        "dim_date": tables.write(version, "core/dim_date", dimensions.dim_date(staged["orders"], existing_days))
-    }
-    for name, (source, natural_key) in built.items():
+    def days() -> DataFrame:
+        existing = tables.read(version, "core/dim_date")
+        return tables.write(version, "core/dim_date", dimensions.dim_date(staged["orders"], existing))
+
+    def keyed(name: str, source: DataFrame, natural_key: str) -> DataFrame:
         existing = tables.read(version, f"core/{name}")
         surrogate_key = name.removeprefix("dim_") + "_key"
-        keyed = upsert_dimension(existing, source, natural_key, surrogate_key)
-        updated[name] = tables.write(version, f"core/{name}", keyed)
-        checks.require_none(checks.duplicate_keys(updated[name], natural_key), f"{name}: {natural_key} repeats")
-        checks.require_no_nulls(updated[name], *REQUIRED[name])
-    return updated
+        upserted = upsert_dimension(existing, source, natural_key, surrogate_key)
+        written = tables.write(version, f"core/{name}", upserted)
+        checks.require_keyed(written, [natural_key], REQUIRED[name], name)
+        return written
+
+    customer = dimensions.dim_customer(staged["customers"], staged["orders"])
+    product = dimensions.dim_product(staged["products"], staged["category_translation"])
+    seller = dimensions.dim_seller(staged["sellers"])
+    built = side_by_side(
+        tables.spark,
+        [
+            days,
+            partial(keyed, "dim_customer", customer, "customer_unique_id"),
+            partial(keyed, "dim_product", product, "product_id"),
+            partial(keyed, "dim_seller", seller, "seller_id"),
+        ],
+    )
+    return dict(zip(["dim_date", "dim_customer", "dim_product", "dim_seller"], built, strict=True))
 
 
 def _replace_batch(
@@ -114,6 +124,25 @@ def _touched_months(batch: DataFrame) -> set[int]:
     return {row.month for row in days.select(month_of_key(F.col("day")).alias("month")).distinct().collect()}
 
 
+def _check_facts(orders: DataFrame, items: DataFrame, dim_date: DataFrame, months: set[int]) -> None:
+    """Required columns and calendar keys of the months that were written.
+
+    Customer, product and seller keys come out of inner joins with their dimensions, and the row counts are
+    compared, so those cannot dangle.
+    """
+
+    def in_calendar(name: str, fact: DataFrame, column: str) -> None:
+        orphans = checks.orphan_keys(fact, column, dim_date, "date_key")
+        checks.require_none(orphans, f"{name}: {column} outside the calendar")
+
+    jobs = []
+    for name, fact in (("fact_orders", orders), ("fact_order_items", items)):
+        touched = fact.where(F.col(MONTH).isin(*months))
+        jobs.append(partial(checks.require_no_nulls, touched, *REQUIRED[name]))
+        jobs += [partial(in_calendar, name, touched, c) for c in fact.columns if c.endswith("date_key")]
+    side_by_side(orders.sparkSession, jobs)
+
+
 def run_load(
     spark: SparkSession,
     root: str,
@@ -134,8 +163,8 @@ def run_load(
 
     selected = select_batch(staged["orders"], staged["order_reviews"], known_orders, watermark, full_refresh)
     batch = tables.write(version, "etl/orders_batch", selected)
-    checks.require_none(checks.duplicate_keys(batch, "order_id"), "order_id repeats in the batch")
-    checks.require_no_nulls(batch, "order_updated_at", "order_status", "order_purchase_timestamp")
+    needed = ["order_updated_at", "order_status", "order_purchase_timestamp"]
+    checks.require_keyed(batch, ["order_id"], needed, "orders_batch")
     checks.require_none(checks.outside_domain(batch, "change_type", CHANGE_TYPES), "unknown change type")
     months = _touched_months(batch)
 
@@ -149,8 +178,8 @@ def run_load(
     items = _replace_batch(tables, version, "fact_order_items", fresh_items, batch, months)
     loaded_items = items.where(F.col(MONTH).isin(*months)).join(batch.select("order_id"), "order_id", "left_semi")
     checks.require_same_count(batch_lines, loaded_items, "fact_order_items: lines of the batch")
-    checks.require_none(
-        checks.duplicate_keys(loaded_items, "order_id", "order_item_id"), "order line repeats in the batch"
+    checks.require_keyed(
+        loaded_items, ["order_id", "order_item_id"], REQUIRED["fact_order_items"], "fact_order_items"
     )
 
     fresh_orders = facts.order_facts(
@@ -162,12 +191,7 @@ def run_load(
     fresh_orders = _with_load_times(fresh_orders, known_orders, months, run_ts)
     orders = _replace_batch(tables, version, "fact_orders", fresh_orders, batch, months)
 
-    for name, fact in (("fact_orders", orders), ("fact_order_items", items)):
-        touched = fact.where(F.col(MONTH).isin(*months))
-        checks.require_no_nulls(touched, *REQUIRED[name])
-        for column in [c for c in fact.columns if c.endswith("date_key")]:
-            orphans = checks.orphan_keys(touched, column, dims["dim_date"], "date_key")
-            checks.require_none(orphans, f"{name}: {column} outside the calendar")
+    _check_facts(orders, items, dims["dim_date"], months)
 
     summary = batch_summary(batch, watermark)
     log = summary.withColumns({"run_at": F.lit(run_ts).cast("timestamp"), "full_refresh": F.lit(full_refresh)})

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelmart.sources.files import delete_on_exit
 
 
+Result = TypeVar("Result")
+
+
 def local_session(name: str = "parcelmart", cores: str = "8", memory: str = "8g", **settings: str) -> SparkSession:
     """A session for tests, the bench and single-machine use; a cluster brings its own."""
     builder = (
@@ -59,3 +66,14 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], Result]]) -> list[Result]:
+    """Start independent Spark jobs together, so that a small one does not wait for the tail of a large one.
+
+    Results come back in the order of the jobs; the first failure is raised once all have ended.
+    """
+    jobs = [inheritable_thread_target(spark)(job) for job in jobs]
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = [pool.submit(job) for job in jobs]
+    return [job.result() for job in running]
