@@ -128,17 +128,18 @@ def order_payments(given: Given) -> DataFrame:
 def order_reviews(given: Given) -> DataFrame:
     key, placed = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp_ntz")
 
-    def review(number, score, days):
+    def review(number, score, days, dated):
         return F.struct(
             F.concat(_id("o_orderkey"), F.lit(f"-{number}")).alias("review_id"),
             score.cast("int").alias("review_score"),
             F.when(key % 4 == 0, F.concat(F.lit("no. "), F.lit(number))).alias("review_comment_title"),
             F.concat(F.lit('said "fine", then:\nline '), _id("o_orderkey")).alias("review_comment_message"),
             _after(placed, days=days - 5).alias("review_creation_date"),
-            F.when(key % 13 != 0, _after(placed, days=days)).alias("review_answer_timestamp"),
+            F.when(dated, _after(placed, days=days)).alias("review_answer_timestamp"),
         )
 
-    first, second = review(1, 1 + (key * 31) % 5, 45), review(2, 1 + key % 5, 50)
+    first = review(1, 1 + (key * 31) % 5, 45, key % 13 != 0)
+    second = review(2, 1 + key % 5, 50, F.lit(True))
     written = F.when(key % 31 == 0, F.array()).when(key % 11 == 0, F.array(first, second)).otherwise(F.array(first))
     return (
         given("orders")
