@@ -32,16 +32,18 @@ def feature_table(spark, folder) -> DataFrame:
     )
 
 
+def split(spark, folder) -> DataFrame:
+    """The features are written once: the cut dates and the split both read them."""
+    return features.split_by_time(written(feature_table(spark, folder), "features"))
+
+
 def scored(spark, folder) -> DataFrame:
     """Validation, test and open orders with the fixed score, written once for all that is asked of it."""
-    split = features.split_by_time(feature_table(spark, folder)).where(F.col("data_split") != "train")
     mixed = (F.col("order_id").cast("bigint") * 7919 + F.col("estimated_days") * 131) % 5003
-    return written(
-        split.select(
-            "order_id", "purchase_date", "data_split", "is_late", (mixed.cast("double") / 5003).alias("probability")
-        ),
-        "scored",
+    scores = split(spark, folder).where(F.col("data_split") != "train").select(
+        "order_id", "purchase_date", "data_split", "is_late", (mixed.cast("double") / 5003).alias("probability")
     )
+    return written(scores, "scored")
 
 
 def tested(scores: DataFrame) -> DataFrame:
@@ -77,28 +79,32 @@ query("l3_cut_dates", pick("cuts", "@valid_from @test_from labelled"))(
     lambda spark, folder: features.cut_dates(feature_table(spark, folder))
 )
 query("l3_split_by_time", pick("splits", "order_id data_split"))(
-    lambda spark, folder: features.split_by_time(feature_table(spark, folder)).select("order_id", "data_split")
+    lambda spark, folder: split(spark, folder).select("order_id", "data_split")
 )
 query(
     "f8_split_sizes",
     "SELECT data_split, count(*) AS orders, CAST(sum(is_late) AS BIGINT) AS late FROM splits GROUP BY data_split",
-)(lambda spark, folder: features.split_sizes(features.split_by_time(feature_table(spark, folder))))
+)(lambda spark, folder: features.split_sizes(split(spark, folder)))
 
 query("l6_alert_threshold", "SELECT round(threshold, 12) AS threshold FROM threshold")(
     lambda spark, folder: alert_threshold(scored(spark, folder)).select(F.round("threshold", 12).alias("threshold"))
 )
-query(
-    "a14_price_quantiles",
-    "SELECT round(quantile_cont(l_extendedprice, 0.9), 6) AS dear, round(quantile_cont(l_extendedprice, 0.37), 6) AS cheap FROM lineitem",
-)(
-    lambda spark, folder: quantile(_prices(spark, folder), "l_extendedprice", 0.9, "dear")
-    .crossJoin(quantile(_prices(spark, folder), "l_extendedprice", 0.37, "cheap"))
-    .select(F.round("dear", 6).alias("dear"), F.round("cheap", 6).alias("cheap"))
-)
 
 
-def _prices(spark, folder):
-    return Star(spark, folder).given("lineitem").select("l_extendedprice")
+@query(
+    "a14_price_quantiles",
+    """SELECT CAST(0.37 AS DOUBLE) AS fraction, round(quantile_cont(l_extendedprice, 0.37), 6) AS price FROM lineitem
+       UNION ALL SELECT 0.9, round(quantile_cont(l_extendedprice, 0.9), 6) FROM lineitem""",
+)
+def price_quantiles(spark, folder):
+    prices = Star(spark, folder).given("lineitem").select("l_extendedprice")
+    one, other = [
+        quantile(prices, "l_extendedprice", fraction, "price").select(
+            F.lit(fraction).alias("fraction"), F.round("price", 6).alias("price")
+        )
+        for fraction in (0.37, 0.9)
+    ]
+    return one.unionByName(other)
 
 
 @query(

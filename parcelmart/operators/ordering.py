@@ -8,6 +8,8 @@ that a value shared by a third of the rows is still spread over many slices.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,17 +89,13 @@ def quantile(frame: DataFrame, value: str, fraction: float, name: str = "quantil
     """
     counted = frame.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     placed = with_running_totals(counted, [F.col(value)], {"_last": "_rows"})
-    total = placed.agg(F.max("_last").alias("_total"))
-    position = (F.col("_total") - 1) * F.lit(float(fraction))
-    wanted = total.select(F.floor(position).alias("_low"), F.ceil(position).alias("_high"), position.alias("_position"))
-    covers = lambda rank: (F.col("_last") > rank) & (F.col("_last") - F.col("_rows") <= rank)
-    return (
-        placed.crossJoin(F.broadcast(wanted))
-        .where(covers(F.col("_low")) | covers(F.col("_high")))
-        .agg(
-            F.max(F.when(covers(F.col("_low")), F.col(value))).alias("_low_value"),
-            F.max(F.when(covers(F.col("_high")), F.col(value))).alias("_high_value"),
-            F.max(F.col("_position") - F.col("_low")).alias("_part"),
-        )
-        .select((F.col("_low_value") + (F.col("_high_value") - F.col("_low_value")) * F.col("_part")).alias(name))
-    )
+    rows = placed.agg(F.max("_last")).first()[0] or 0
+    position = max(rows - 1, 0) * fraction
+    low, high = math.floor(position), math.ceil(position)
+
+    def value_at(rank: int) -> Column:
+        covered = (F.col("_last") > rank) & (F.col("_last") - F.col("_rows") <= rank)
+        return F.max(F.when(covered, F.col(value)))
+
+    neighbours = placed.agg(value_at(low).alias("_low"), value_at(high).alias("_high"))
+    return neighbours.select((F.col("_low") + (F.col("_high") - F.col("_low")) * F.lit(position - low)).alias(name))

@@ -55,12 +55,8 @@ def select_batch(
     ``change_type`` and ``loaded_date_key``, the purchase day the fact knows the order by.
     Without a watermark row for the load nothing is selected.
     """
-    source = orders_with_updates(orders, reviews)
-    limit = watermark.where(F.col("pipeline_name") == PIPELINE).select(
-        (F.lit(None).cast("timestamp_ntz") if full_refresh else F.col("last_watermark")).alias("_watermark")
-    )
-    # One row per load name: bounded.
-    source = source.crossJoin(F.broadcast(limit))
+    control = watermark.where(F.col("pipeline_name") == PIPELINE).select("last_watermark")
+    source = orders_with_updates(orders, reviews).where(control.exists())
     if loaded is None:
         return source.select(
             *orders.columns,
@@ -75,9 +71,8 @@ def select_batch(
         F.lit(True).alias("_known"),
     )
     unknown = F.col("_known").isNull()
-    newer = F.col("order_updated_at").isNotNull() & (
-        F.col("_watermark").isNull() | (F.col("order_updated_at") > F.col("_watermark"))
-    )
+    limit = F.lit(None).cast("timestamp_ntz") if full_refresh else control.scalar()
+    newer = F.col("order_updated_at").isNotNull() & (limit.isNull() | (F.col("order_updated_at") > limit))
     status_changed = F.col("_loaded_status") != F.col("order_status")
     return (
         source.join(known, "order_id", "left")
@@ -96,18 +91,17 @@ def batch_summary(batch: DataFrame, watermark: DataFrame) -> DataFrame:
 
     The watermark never moves back.
     """
-    totals = batch.agg(
-        F.count_if(F.col("change_type") == "new").alias("rows_new"),
-        F.count_if(F.col("change_type") == "changed").alias("rows_changed"),
-        F.max("order_updated_at").alias("_newest"),
-    )
-    before = watermark.where(F.col("pipeline_name") == PIPELINE)
-    return before.crossJoin(totals).select(
+    newest = batch.agg(F.max("order_updated_at")).scalar()
+
+    def rows(change_type: str):
+        return batch.agg(F.count_if(F.col("change_type") == change_type)).scalar().alias(f"rows_{change_type}")
+
+    return watermark.where(F.col("pipeline_name") == PIPELINE).select(
         "pipeline_name",
         F.col("last_watermark").alias("watermark_before"),
-        F.greatest("last_watermark", "_newest").alias("watermark_after"),
-        "rows_new",
-        "rows_changed",
+        F.greatest("last_watermark", newest).alias("watermark_after"),
+        rows("new"),
+        rows("changed"),
     )
 
 
