@@ -24,7 +24,8 @@ from parcelmart.sources.files import fingerprint
 from parcelmart.sources.published import PublishedTables
 from parcelmart.sources.staging import COLUMNS, as_text, typed
 
-FIRST_RUN, SECOND_RUN = datetime(2001, 3, 1, tzinfo=UTC), datetime(2001, 9, 1, tzinfo=UTC)
+# At noon, so that the day is the same in most time zones.
+FIRST_RUN, SECOND_RUN = datetime(2001, 3, 1, 12, tzinfo=UTC), datetime(2001, 9, 1, 12, tzinfo=UTC)
 
 # Enough trees for the given data, whose labels hardly depend on the features.
 TREES = 20

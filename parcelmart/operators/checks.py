@@ -29,12 +29,13 @@ def null_counts(frame: DataFrame, *columns: str) -> DataFrame:
 
 
 def key_summary(frame: DataFrame, key: list[str], required: list[str]) -> DataFrame:
-    """One row from one pass: the most rows any key has, and the nulls of each required column."""
+    """One row from one pass: all rows, the most rows any key has, and the nulls of each required column."""
     per_key = frame.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(F.col(column).isNull()).alias(f"_{column}") for column in required],
     )
     return per_key.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
         F.coalesce(F.max("_rows"), F.lit(0)).alias("rows_per_key"),
         *[F.coalesce(F.sum(f"_{column}"), F.lit(0)).alias(column) for column in required],
     )
@@ -55,14 +56,16 @@ def require_none(violations: DataFrame, message: str) -> None:
         raise CheckFailed(f"{message}, for example {example[0].asDict()}")
 
 
-def require_keyed(frame: DataFrame, key: list[str], required: list[str], name: str) -> None:
-    """Unique key and no nulls in the required columns."""
+def require_keyed(frame: DataFrame, key: list[str], required: list[str], name: str) -> int:
+    """Unique key and no nulls in the required columns; returns the number of rows."""
     found = key_summary(frame, key, required).first().asDict()
+    rows = found.pop("rows")
     if found.pop("rows_per_key") > 1:
         raise CheckFailed(f"{name}: {', '.join(key)} repeats")
     empty = {column: rows for column, rows in found.items() if rows}
     if empty:
         raise CheckFailed(f"{name}: null in columns that need a value: {empty}")
+    return rows
 
 
 def require_no_nulls(frame: DataFrame, *columns: str) -> None:
@@ -72,7 +75,6 @@ def require_no_nulls(frame: DataFrame, *columns: str) -> None:
         raise CheckFailed(f"null in columns that need a value: {empty}")
 
 
-def require_same_count(expected: DataFrame, actual: DataFrame, message: str) -> None:
-    staged, loaded = expected.count(), actual.count()
+def require_same_count(staged: int, loaded: int, message: str) -> None:
     if staged != loaded:
         raise CheckFailed(f"{message}: {staged} staged but {loaded} loaded")

@@ -149,8 +149,14 @@ def run_load(
     sources: dict[str, DataFrame],
     full_refresh: bool = False,
     run_ts: datetime | None = None,
+    keep_versions: int = 5,
 ) -> LoadResult:
-    """Load ``sources`` (the eight staging tables, as text or typed) into the warehouse at ``root``."""
+    """Load ``sources`` (the eight staging tables, as text or typed) into the warehouse at ``root``.
+
+    Folders that none of the last ``keep_versions`` published versions uses are deleted after publishing.
+    """
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("spark.sql.ansi.enabled must be true: malformed source text has to stop the load")
     run_ts = run_ts or datetime.now(UTC)
     tables = PublishedTables(spark, root)
     version = tables.draft()
@@ -164,23 +170,25 @@ def run_load(
     selected = select_batch(staged["orders"], staged["order_reviews"], known_orders, watermark, full_refresh)
     batch = tables.write(version, "etl/orders_batch", selected)
     needed = ["order_updated_at", "order_status", "order_purchase_timestamp"]
-    checks.require_keyed(batch, ["order_id"], needed, "orders_batch")
+    batch_size = checks.require_keyed(batch, ["order_id"], needed, "orders_batch")
     checks.require_none(checks.outside_domain(batch, "change_type", CHANGE_TYPES), "unknown change type")
     months = _touched_months(batch)
 
     keyed_orders = facts.order_customers(batch, staged["customers"], dims["dim_customer"])
     keyed_orders = tables.write(version, "etl/keyed_orders", keyed_orders)
-    checks.require_same_count(batch, keyed_orders, "fact_orders: orders of the batch lack their customer")
+    checks.require_same_count(
+        batch_size, keyed_orders.count(), "fact_orders: orders of the batch lack their customer or have several"
+    )
 
     batch_lines = staged["order_items"].join(batch.select("order_id"), "order_id", "left_semi")
     order_keys = keyed_orders.withColumn("purchase_date_key", date_key(F.col("order_purchase_timestamp")))
     fresh_items = facts.order_items(batch_lines, order_keys, dims["dim_product"], dims["dim_seller"])
     items = _replace_batch(tables, version, "fact_order_items", fresh_items, batch, months)
     loaded_items = items.where(F.col(MONTH).isin(*months)).join(batch.select("order_id"), "order_id", "left_semi")
-    checks.require_same_count(batch_lines, loaded_items, "fact_order_items: lines of the batch")
-    checks.require_keyed(
+    loaded_lines = checks.require_keyed(
         loaded_items, ["order_id", "order_item_id"], REQUIRED["fact_order_items"], "fact_order_items"
     )
+    checks.require_same_count(batch_lines.count(), loaded_lines, "fact_order_items: lines of the batch")
 
     fresh_orders = facts.order_facts(
         keyed_orders,
@@ -199,6 +207,7 @@ def run_load(
     tables.write(version, "etl/watermark", moved_watermark(watermark, summary, run_ts))
     counts = summary.first()
     tables.publish(version)
+    tables.expire(keep_versions)
     return LoadResult(version, rows_loaded, counts.rows_new, counts.rows_changed)
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from parcelmart.sources.files import child_names, exists, publish_text, read_text
+from parcelmart.sources.files import child_names, delete_folder, exists, publish_text, read_text
 
 RUN_FOLDER = "run"
 
@@ -36,11 +36,16 @@ class PublishedTables:
     def _pointer(self, run_id: int) -> str:
         return f"{self.root}/_published/{run_id:08d}.json"
 
+    def _published_runs(self) -> list[int]:
+        names = child_names(self.spark, f"{self.root}/_published")
+        return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
+
+    def _version(self, run_id: int) -> Version:
+        return Version(**json.loads(read_text(self.spark, self._pointer(run_id))))
+
     def latest(self) -> Version:
-        names = [name for name in child_names(self.spark, f"{self.root}/_published") if name.endswith(".json")]
-        if not names:
-            return Version()
-        return Version(**json.loads(read_text(self.spark, f"{self.root}/_published/{names[-1]}")))
+        runs = self._published_runs()
+        return self._version(runs[-1]) if runs else Version()
 
     def next_run_id(self) -> int:
         """One more than any run that was started, finished or not, so that no folder is written twice."""
@@ -109,3 +114,22 @@ class PublishedTables:
         if self.latest().run_id >= version.run_id or exists(self.spark, self._pointer(version.run_id)):
             raise RuntimeError(f"run {version.run_id} was overtaken by another run")
         publish_text(self.spark, self._pointer(version.run_id), json.dumps(vars(version), indent=1))
+
+    def expire(self, keep: int) -> None:
+        """Delete what none of the last ``keep`` published versions uses; unfinished newer runs are left alone."""
+        runs = self._published_runs()
+        kept = [self._version(run_id) for run_id in runs[-keep:]]
+        for run_id in runs[:-keep]:
+            delete_folder(self.spark, self._pointer(run_id))
+        used = {folder for version in kept for folders in version.folders.values() for folder in folders}
+        for table in {table for version in kept for table in version.folders}:
+            for name in child_names(self.spark, f"{self.root}/{table}"):
+                if not name.startswith(f"{RUN_FOLDER}=") or int(name.split("=")[1]) > runs[-1]:
+                    continue
+                folder = f"{table}/{name}"
+                parts = [f"{folder}/{part}" for part in child_names(self.spark, f"{self.root}/{folder}") if "=" in part]
+                if folder in used or used.issuperset(parts) and parts:
+                    continue
+                unused = [part for part in parts if part not in used] if used & set(parts) else [folder]
+                for path in unused:
+                    delete_folder(self.spark, f"{self.root}/{path}")

@@ -5,4 +5,4 @@ from parcelmart.shared import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("tests", cores="4", memory="4g")
+    return local_session("tests", memory="4g")

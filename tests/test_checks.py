@@ -43,9 +43,10 @@ def test_domain(frame):
 
 
 def test_counts(frame):
-    checks.require_same_count(frame, frame, "same")
+    assert checks.require_keyed(frame, ["k", "v"], [], "t") == 4
+    checks.require_same_count(4, 4, "same")
     with pytest.raises(CheckFailed, match="4 staged but 1 loaded"):
-        checks.require_same_count(frame, frame.limit(1), "lines")
+        checks.require_same_count(4, 1, "lines")
 
 
 def test_training_needs_enough_answers_and_late_orders():

@@ -15,7 +15,7 @@ SAMPLE = [
     "r1_monthly_sales", "r2_sales_by_category", "r3_delivery_by_state", "r4_seller_scorecard", "r5_payment_methods",
     "q5_best_categories", "q7_month_over_month", "q9_best_and_worst_month", "q16_top_states",
     "e15_capitalised_documents", "j7_order_facts", "d2_dim_customer", "m1_select_batch", "s1_csv_reviews",
-    "m3_order_items_after_two_loads", "m5_orders_after_two_loads", "m6_load_log", "l7_ranking_quality",
+    "m5_orders_after_two_loads", "m6_load_log", "l7_ranking_quality",
     "l14_test_risk_deciles",
 ]
 

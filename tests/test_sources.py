@@ -4,6 +4,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from parcelmart.plans.load import csv_sources
+from parcelmart.sources.files import child_names
 from parcelmart.sources.published import PublishedTables
 from parcelmart.sources.staging import read_csv, typed
 from tests import rows
@@ -66,6 +67,24 @@ def test_versions_are_invisible_until_published(spark, tmp_path):
         tables.publish(second)
 
 
+def test_expired_versions_free_their_folders_but_shared_ones_stay(spark, tmp_path):
+    tables = PublishedTables(spark, str(tmp_path))
+    frame = spark.range(6).select("id", (F.col("id") % 3).cast("int").alias("part"))
+    for run, replaced in enumerate([set(), {0}, {0, 1}]):
+        version = tables.draft()
+        rows_now = frame.where(F.col("part").isin(*replaced)) if replaced else frame
+        tables.write_parts(version, "t", rows_now, "part", replaced)
+        tables.write(version, "whole", spark.range(run + 1))
+        tables.publish(version)
+    tables.draft()  # a run that has begun
+    tables.write(tables.draft(), "whole", spark.range(9))
+    tables.expire(1)
+    assert child_names(spark, f"{tmp_path}/whole") == ["run=3", "run=5"]
+    assert child_names(spark, f"{tmp_path}/t") == ["run=1", "run=3"]
+    assert [n for n in child_names(spark, f"{tmp_path}/t/run=1") if "=" in n] == ["part=2"]
+    assert tables.read(tables.latest(), "t").count() == 6
+
+
 def test_parts_that_are_not_replaced_keep_their_folder(spark, tmp_path):
     tables = PublishedTables(spark, str(tmp_path))
     first = tables.draft()
