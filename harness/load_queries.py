@@ -7,6 +7,7 @@ session over the same files. They live in the cluster's shared folder until the
 from __future__ import annotations
 
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,7 +179,7 @@ def watermark(spark, folder):
 
 @query(
     "m8_customer_keys",
-    """SELECT count(*) AS customers, count(*) AS keys, 1 AS lowest, count(*) AS highest FROM dim_customer""",
+    """SELECT count(*) AS customers, count(*) AS keys, CAST(1 AS BIGINT) AS lowest, count(*) AS highest FROM dim_customer""",
 )
 def customer_keys(spark, folder):
     """After two loads the keys are still unique and without gaps."""
@@ -190,23 +191,40 @@ def customer_keys(spark, folder):
     )
 
 
-@query("c4_published_orphans", "SELECT 'none' AS column_name, 0 AS orphans FROM region WHERE false")
+# Key column of each fact: its parent in the warehouse, and fact column, parent and parent column in the SQL.
+FOREIGN_KEYS = {
+    ("fact_orders", "customer_key"): ("dim_customer", "f_orders", "customer_unique_id", "customer_unique_id"),
+    ("fact_orders", "purchase_date_key"): ("dim_date", "f_orders", "purchase_date_key", "date_key"),
+    ("fact_orders", "delivered_date_key"): ("dim_date", "f_orders", "delivered_date_key", "date_key"),
+    ("fact_orders", "estimated_delivery_date_key"): ("dim_date", "f_orders", "estimated_delivery_date_key", "date_key"),
+    ("fact_order_items", "customer_key"): ("dim_customer", "f_items", "customer_unique_id", "customer_unique_id"),
+    ("fact_order_items", "product_key"): ("dim_product", "f_items", "product_id", "product_id"),
+    ("fact_order_items", "seller_key"): ("dim_seller", "f_items", "seller_id", "seller_id"),
+    ("fact_order_items", "purchase_date_key"): ("dim_date", "f_items", "purchase_date_key", "date_key"),
+}
+
+
+@query(
+    "c4_published_orphans",
+    " UNION ALL ".join(
+        f"SELECT '{fact}.{column}' AS column_name, count(DISTINCT f.{child}) AS orphans FROM {table} f "
+        f"ANTI JOIN {parent} p ON p.{key} = f.{child} WHERE f.{child} IS NOT NULL"
+        for (fact, column), (parent, table, child, key) in FOREIGN_KEYS.items()
+    ),
+)
 def published_orphans(spark, folder):
-    """Fact keys without their dimension row, per key column; there must be none."""
+    """How many key values of each fact column lack their dimension row after two loads."""
     core = core_tables(spark, warehouse(spark, folder))
-    parents = {"customer_key": "dim_customer", "product_key": "dim_product", "seller_key": "dim_seller"}
-    found = []
-    for fact in ("fact_orders", "fact_order_items"):
-        for column in core[fact].columns:
-            if not column.endswith("_key"):
-                continue
-            parent, key = (parents[column], column) if column in parents else ("dim_date", "date_key")
-            orphans = checks.orphan_keys(core[fact], column, core[parent], key)
-            found.append(orphans.select(F.lit(f"{fact}.{column}").alias("column_name")))
-    every = found[0]
-    for one in found[1:]:
-        every = every.unionByName(one)
-    return every.groupBy("column_name").agg(F.count(F.lit(1)).alias("orphans"))
+    counts = []
+    for (fact, column), (parent, *_) in FOREIGN_KEYS.items():
+        key = "date_key" if parent == "dim_date" else column
+        orphans = checks.orphan_keys(core[fact], column, core[parent], key)
+        counts.append(
+            orphans.agg(F.count(F.lit(1)).alias("orphans")).select(
+                F.lit(f"{fact}.{column}").alias("column_name"), "orphans"
+            )
+        )
+    return reduce(DataFrame.unionByName, counts)
 
 
 query(

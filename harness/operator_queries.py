@@ -440,7 +440,8 @@ def batch_summary(spark, folder):
 @query(
     "j10_summary_of_empty_batch",
     """SELECT 'fact_orders' AS pipeline_name, CAST(max(order_updated_at) AS VARCHAR) AS watermark_before,
-              CAST(max(order_updated_at) AS VARCHAR) AS watermark_after, 0 AS rows_new, 0 AS rows_changed
+              CAST(max(order_updated_at) AS VARCHAR) AS watermark_after, CAST(0 AS BIGINT) AS rows_new,
+              CAST(0 AS BIGINT) AS rows_changed
        FROM updated_orders""",
 )
 def summary_of_empty_batch(spark, folder):

@@ -161,7 +161,7 @@ def open_orders(spark, folder):
 
 @query(
     "l14_test_risk_deciles",
-    """SELECT risk_group, count(*) AS orders, CAST(round(avg(late_probability), 4) AS DOUBLE) AS avg_predicted,
+    """SELECT CAST(risk_group AS INTEGER) AS risk_group, count(*) AS orders, CAST(round(avg(late_probability), 4) AS DOUBLE) AS avg_predicted,
               CAST(round(avg(CAST(actual_is_late AS INTEGER)), 4) AS DOUBLE) AS actual_late_rate,
               CAST(sum(CAST(actual_is_late AS INTEGER)) AS BIGINT) AS late_orders
        FROM (SELECT late_probability, actual_is_late, ntile(10) OVER (ORDER BY late_probability, order_id) AS risk_group
@@ -173,7 +173,7 @@ def deciles(spark, folder):
 
 @query(
     "w13_ntile_over_orders",
-    """SELECT order_id, ntile(10) OVER (ORDER BY payment_value, order_id) AS bucket FROM payments_per_order""",
+    """SELECT order_id, CAST(ntile(10) OVER (ORDER BY payment_value, order_id) AS INTEGER) AS bucket FROM payments_per_order""",
 )
 def ntile_over_orders(spark, folder):
     orders = Star(spark, folder).fact_orders("order_id", "payment_value").where(F.col("payment_value").isNotNull())
