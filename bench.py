@@ -11,7 +11,7 @@ import os
 import tempfile
 import time
 
-from harness import load_queries, mapping, report_queries, risk_queries
+from parcelqueries import load_queries, mapping, report_queries, risk_queries
 from parcelmart.plans import analytics
 from parcelmart.plans.features import late_delivery_features
 from parcelmart.plans.late_model import run_late_model

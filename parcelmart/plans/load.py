@@ -143,35 +143,17 @@ def _check_facts(orders: DataFrame, items: DataFrame, dim_date: DataFrame, month
     side_by_side(orders.sparkSession, jobs)
 
 
-def run_load(
-    spark: SparkSession,
-    root: str,
-    sources: dict[str, DataFrame],
-    full_refresh: bool = False,
-    run_ts: datetime | None = None,
-    keep_versions: int = 5,
-) -> LoadResult:
-    """Load ``sources`` (the eight staging tables, as text or typed) into the warehouse at ``root``.
-
-    Folders that none of the last ``keep_versions`` published versions uses are deleted after publishing.
-    """
-    if spark.conf.get("spark.sql.ansi.enabled") != "true":
-        raise ValueError("spark.sql.ansi.enabled must be true: malformed source text has to stop the load")
-    run_ts = run_ts or datetime.now(UTC)
-    tables = PublishedTables(spark, root)
-    version = tables.draft()
-    rows_loaded = stage(tables, version, sources)
-    staged = {table: typed(table, tables.read(version, f"staging/{table}")) for table in COLUMNS}
-
+def _update_facts(
+    tables: PublishedTables,
+    version: Version,
+    staged: dict[str, DataFrame],
+    dims: dict[str, DataFrame],
+    batch: DataFrame,
+    batch_size: int,
+    run_ts: datetime,
+) -> None:
+    """Recompute the batch orders and their lines, exchange them in both facts, and check the result."""
     known_orders = tables.read(version, "core/fact_orders")
-    watermark = seed_watermark(spark, tables.read(version, "etl/watermark"), run_ts)
-    dims = update_dimensions(tables, version, staged)
-
-    selected = select_batch(staged["orders"], staged["order_reviews"], known_orders, watermark, full_refresh)
-    batch = tables.write(version, "etl/orders_batch", selected)
-    needed = ["order_updated_at", "order_status", "order_purchase_timestamp"]
-    batch_size = checks.require_keyed(batch, ["order_id"], needed, "orders_batch")
-    checks.require_none(checks.outside_domain(batch, "change_type", CHANGE_TYPES), "unknown change type")
     months = _touched_months(batch)
 
     keyed_orders = facts.order_customers(batch, staged["customers"], dims["dim_customer"])
@@ -201,6 +183,39 @@ def run_load(
 
     _check_facts(orders, items, dims["dim_date"], months)
 
+
+def run_load(
+    spark: SparkSession,
+    root: str,
+    sources: dict[str, DataFrame],
+    full_refresh: bool = False,
+    run_ts: datetime | None = None,
+    keep_versions: int = 5,
+) -> LoadResult:
+    """Load ``sources`` (the eight staging tables, as text or typed) into the warehouse at ``root``.
+
+    Folders that none of the last ``keep_versions`` published versions uses are deleted after publishing.
+    """
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("spark.sql.ansi.enabled must be true: malformed source text has to stop the load")
+    run_ts = run_ts or datetime.now(UTC)
+    tables = PublishedTables(spark, root)
+    version = tables.draft()
+    rows_loaded = stage(tables, version, sources)
+    staged = {table: typed(table, tables.read(version, f"staging/{table}")) for table in COLUMNS}
+
+    known_orders = tables.read(version, "core/fact_orders")
+    watermark = seed_watermark(spark, tables.read(version, "etl/watermark"), run_ts)
+    dims = update_dimensions(tables, version, staged)
+
+    selected = select_batch(staged["orders"], staged["order_reviews"], known_orders, watermark, full_refresh)
+    batch = tables.write(version, "etl/orders_batch", selected)
+    needed = ["order_updated_at", "order_status", "order_purchase_timestamp"]
+    batch_size = checks.require_keyed(batch, ["order_id"], needed, "orders_batch")
+    checks.require_none(checks.outside_domain(batch, "change_type", CHANGE_TYPES), "unknown change type")
+    if batch_size or known_orders is None:
+        _update_facts(tables, version, staged, dims, batch, batch_size, run_ts)
+
     summary = batch_summary(batch, watermark)
     log = summary.withColumns({"run_at": F.lit(run_ts).cast("timestamp"), "full_refresh": F.lit(full_refresh)})
     tables.append(version, "etl/load_log", log.withColumn("log_id", F.lit(version.run_id).cast("bigint")))

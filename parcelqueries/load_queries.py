@@ -12,9 +12,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness import mapping
-from harness.operator_queries import FACT_COLUMNS
-from harness.registry import pick, query
+from parcelqueries import mapping
+from parcelqueries.operator_queries import FACT_COLUMNS
+from parcelqueries.registry import pick, query
 from parcelmart.operators import checks
 from parcelmart.plans import reporting
 from parcelmart.plans.late_model import run_late_model

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from harness import mapping
-from harness.registry import pick, query
-from harness.sql_tables import capitalised, day_key, whole
-from harness.star import Star
+from parcelqueries import mapping
+from parcelqueries.registry import pick, query
+from parcelqueries.sql_tables import capitalised, day_key, whole
+from parcelqueries.star import Star
 from parcelmart.functions.dates import date_key, days_between
 from parcelmart.functions.numbers import guarded_fraction, rounded_average
 from parcelmart.functions.text import capitalise_words, place_name, state_code

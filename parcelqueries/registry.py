@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harness.sql_tables import with_tables
+from parcelqueries.sql_tables import with_tables
 
 Build = Callable[[SparkSession, str], DataFrame]
 

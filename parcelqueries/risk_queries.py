@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harness.registry import pick, query
-from harness.star import Star
+from parcelqueries.registry import pick, query
+from parcelqueries.star import Star
 from parcelmart.operators.ordering import quantile, with_ntile
 from parcelmart.operators.ranking import alert_quality, ranking_quality
 from parcelmart.plans import features, risk_views

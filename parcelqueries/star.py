@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness import mapping
+from parcelqueries import mapping
 from parcelmart.functions.dates import date_key
 from parcelmart.plans import dimensions, facts
 

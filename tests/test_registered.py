@@ -1,6 +1,6 @@
 """A spread of registered queries against their SQL on the smallest given tables.
 
-``python -m harness.compare`` runs all of them.
+``python -m parcelqueries.compare`` runs all of them.
 """
 
 import os
@@ -8,7 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from harness.compare import connect, difference
+from parcelqueries.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = [
