@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmart.llm import decontaminate
+from parcelmart.llm import decontaminate, packing
 from parcelmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EXPECTED: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[build.__name__] = build
     return build
@@ -24,6 +31,11 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return result.drop("spans")
 
 
+@_query
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 _WORDS = (
     "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
