@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmart.llm import decontaminate, packing
+from parcelmart.llm import decontaminate, packing, wavelet
 from parcelmart.llm.common import table
+from parcelmart.shared import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EXPECTED: dict[str, str] = {}
@@ -31,6 +32,13 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return result.drop("spans")
 
 
+@_query
+def op8_wavelet(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "shards")
+    wavelet.write_shards(table(spark, folder, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return wavelet.document_digests(wavelet.read_shards(spark, path))
+
+
 @_query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
