@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmart.llm import decontaminate, packing, wavelet
+from parcelmart.llm import decontaminate, packing, toxicity, wavelet
 from parcelmart.llm.common import table
 from parcelmart.shared import scratch_path
 
@@ -39,6 +39,12 @@ def op8_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.document_digests(wavelet.read_shards(spark, path))
 
 
+@_query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.toxicity(docs, docs, table(spark, folder, "labels")).drop("spans")
+
+
 @_query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
