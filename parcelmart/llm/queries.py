@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmart.llm import decontaminate, packing, toxicity, wavelet
+from parcelmart.llm import decontaminate, packing, phrases, toxicity, wavelet
 from parcelmart.llm.common import table
 from parcelmart.shared import scratch_path
 
@@ -32,6 +32,11 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return result.drop("spans")
 
 
+@_query
+def op4_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.substring_removal(table(spark, folder, "documents"))
+
+
 @_query
 def op8_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "shards")
@@ -81,3 +86,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+EXPECTED["op4_phrases"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+),
+spots AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)
+),
+again AS (SELECT g FROM spots GROUP BY g HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS p FROM spots WHERE g IN (SELECT g FROM again)
+),
+lists AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE [w[i] for i in generate_series(1, len(w)) if NOT list_contains(ps, i)] END, ' '))
+       AS kept_sha256
+FROM d LEFT JOIN lists USING (doc_id)
+"""

@@ -113,7 +113,7 @@ def _mark_words(docs: list[list[str]], toxic: np.ndarray, features: dict[str, li
 def _fit_field(docs: list[list[str]], tags: list[np.ndarray], features: dict[str, list[int]], rounds: int = 25):
     """Weights by Adam on the log-likelihood, all sequences at once; words that repeat share one row."""
     kinds = {w: i for i, w in enumerate(dict.fromkeys(w for words in docs for w in words))}
-    table = np.array([features[w] for w in kinds], dtype=np.int64).reshape(len(kinds), -1)
+    table = np.array([features[w] for w in kinds], dtype=np.int64).reshape(len(kinds), 5)
     words = np.fromiter((kinds[w] for d in docs for w in d), dtype=np.int64)
     lengths, truth = np.array([len(d) for d in docs]), np.concatenate(tags) if tags else np.zeros(0)
     inside = np.ones(len(words), bool)
