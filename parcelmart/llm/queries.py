@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmart.llm import decontaminate, packing, phrases, toxicity, wavelet
+from parcelmart.llm import decontaminate, jaccard, packing, phrases, toxicity, wavelet
 from parcelmart.llm.common import table
 from parcelmart.shared import scratch_path
 
@@ -37,6 +37,11 @@ def op4_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.substring_removal(table(spark, folder, "documents"))
 
 
+@_query
+def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, folder, "documents"))
+
+
 @_query
 def op8_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "shards")
