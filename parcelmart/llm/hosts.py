@@ -19,14 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmart.llm.common import ascii_lower
+from parcelmart.shared import written
 
-Z, BLOCK_ABOVE = 1.64, 0.5
+Z, BLOCK_ABOVE, SALTS = 1.64, 0.5, 64
 #: Suffixes of two labels under which domains are registered; any other last label is a suffix by itself.
 DOUBLE_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.za", "com.cn", "co.in")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
-    rest = F.when(F.instr(url, "://") > 0, F.substring_index_after(url)) if False else None
+    """Host: behind the first ``://`` up to ``/``, ``?``, ``#``, A-Z in lower case. Path: from there up to ``?``, ``#``."""
     after = F.substring(url, F.instr(url, "://") + 3, F.char_length(url))
     rest = F.when(F.instr(url, "://") > 0, after).otherwise(F.lit(""))
     rest = F.substring_index(F.substring_index(rest, "?", 1), "#", 1)
@@ -52,7 +53,7 @@ def domain_and_suffix(host: Column) -> tuple[Column, Column]:
     return domain, suffix
 
 
-def _strength(groups: DataFrame, mean: Column, rest: list[str]) -> DataFrame:
+def _strength(groups: DataFrame, mean: Column) -> DataFrame:
     """Prior strength (pseudo-pages) by the spread of the groups' rates around their prior means; one row."""
     n, rate = F.col("n"), F.col("bad") / F.col("n")
     spread = F.sum(n * (rate - mean) ** 2)
@@ -68,7 +69,8 @@ def reputations(outcomes: DataFrame, z: float = Z, block_above: float = BLOCK_AB
     domain, suffix = domain_and_suffix(F.col("host"))
     hosts = outcomes.where("bad IS NOT NULL").groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")
-    ).withColumns({"domain": domain, "suffix": suffix})
+    )
+    hosts = written(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
 
     def pooled(frame: DataFrame, *keys: str) -> DataFrame:
         return frame.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -76,7 +78,7 @@ def reputations(outcomes: DataFrame, z: float = Z, block_above: float = BLOCK_AB
     def shrunk(groups: DataFrame, prior: Column) -> DataFrame:
         """``groups`` with a column ``prior``: add the posterior's ``a`` and ``b``."""
         placed = groups.withColumn("prior", prior)
-        strength = _strength(placed, F.col("prior"), []).select("strength")
+        strength = _strength(placed, F.col("prior"))
         k = strength.scalar()
         return placed.withColumn("a", F.col("bad") + F.col("prior") * k).withColumn("b", F.col("n") - F.col("bad") + (1 - F.col("prior")) * k)
 
@@ -93,6 +95,13 @@ def reputations(outcomes: DataFrame, z: float = Z, block_above: float = BLOCK_AB
     return judged.select("host", "n", "bad", mean().alias("mean"), lower.alias("lower"), (lower > block_above).alias("blocked"))
 
 
+def symbol_heavy(html: Column, share: float = 0.03) -> Column:
+    """A page outcome without hand-made labels: 1 if over ``share`` of the text outside tags are ``! # $ % & *``."""
+    shown = F.regexp_replace(html, "<[^>]*>", " ")
+    symbols = F.char_length(shown) - F.char_length(F.translate(shown, "!#$%&*", ""))
+    return (symbols > share * F.char_length(shown)).cast("int")
+
+
 def url_verdicts(pages: DataFrame, outcome: Column, rules: list[tuple[str, str]], z: float = Z, block_above: float = BLOCK_ABOVE) -> DataFrame:
     """Per page ``page_id, host, path, rule, verdict`` and the reputation's ``mean`` and ``lower`` bound."""
     host, path = host_and_path(F.coalesce("url", F.lit("")))
@@ -100,6 +109,9 @@ def url_verdicts(pages: DataFrame, outcome: Column, rules: list[tuple[str, str]]
     known = reputations(placed.select("host", "bad"), z, block_above).select("host", "mean", "lower", "blocked")
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     own = F.when(F.coalesce("blocked", F.lit(False)), "block").otherwise("allow")
-    return placed.join(known, "host", "left").select(
+    # A host may hold a third of all pages: its one row of reputation goes to SALTS places, its pages are spread over them.
+    known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = placed.withColumn("_salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
+    return placed.join(known, ["host", "_salt"], "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "mean", "lower"
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelmart.llm import decontaminate, jaccard, packing, phrases, toxicity, wavelet
+from parcelmart.llm import decontaminate, hosts, jaccard, packing, phrases, toxicity, wavelet
 from parcelmart.llm.common import table
 from parcelmart.shared import scratch_path
 
@@ -42,6 +43,16 @@ def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, folder, "documents"))
 
 
+# The rules the query is given.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+@_query
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return hosts.url_verdicts(pages, hosts.symbol_heavy(F.col("html")), URL_RULES).drop("mean", "lower")
+
+
 @_query
 def op8_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "shards")
@@ -110,3 +121,52 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS
        AS kept_sha256
 FROM d LEFT JOIN lists USING (doc_id)
 """
+
+_HOST_FIT = "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')"
+_FITS = " ".join(
+    f"WHEN {_HOST_FIT.format(*(lambda h: (h[0], '/' + h[1]))(rule.split('/', 1)))} THEN '{{{i}}}'"
+    for i, (rule, _) in sorted(enumerate(URL_RULES), key=lambda r: -len(r[1][0]))
+)
+_DOUBLE = ", ".join(f"'{x}'" for x in hosts.DOUBLE_SUFFIXES)
+
+
+def _level(name: str, groups: str, key: str) -> str:
+    """One beta-binomial level over ``groups`` (n, bad, prior): the posterior's a and b."""
+    return f"""
+{name}_k AS (
+  SELECT 1 / least(greatest(coalesce((sum(n * (bad / n - prior) ** 2) - sum(prior * (1 - prior)))
+         / nullif(sum((n - 1) * prior * (1 - prior)), 0), 0.5), 0.01), 0.9) - 1 AS k FROM {groups}
+),
+{name} AS (SELECT {key}, n, bad, bad + prior * k AS a, n - bad + (1 - prior) * k AS b FROM {groups}, {name}_k)"""
+
+
+EXPECTED["op7_url_filter"] = f"""
+WITH r AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest,
+         regexp_replace(html, '<[^>]*>', ' ', 'g') AS shown FROM pages
+),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         CAST(length(shown) - length(translate(shown, '!#$%&*', '')) > 0.03 * length(shown) AS INT) AS bad FROM r
+),
+h AS (
+  SELECT host, CAST(count(*) AS DOUBLE) AS n, sum(bad) AS bad, string_split(host, '.') AS s,
+         CASE WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({_DOUBLE}) THEN 2 ELSE 1 END AS k
+  FROM p WHERE bad IS NOT NULL GROUP BY host
+),
+hosts AS (SELECT host, n, bad, array_to_string(s[-k:], '.') AS suffix, array_to_string(s[-(k + 1):], '.') AS domain FROM h),
+gs AS (
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM hosts) AS prior FROM hosts GROUP BY suffix
+),{_level("ps", "gs", "suffix")},
+gd AS (
+  SELECT domain, sum(hosts.n) AS n, sum(hosts.bad) AS bad, any_value(a / (a + b)) AS prior
+  FROM hosts JOIN ps USING (suffix) GROUP BY suffix, domain
+),{_level("pd", "gd", "domain")},
+gh AS (SELECT host, hosts.n, hosts.bad, a / (a + b) AS prior FROM hosts JOIN pd USING (domain)),{_level("ph", "gh", "host")},
+known AS (SELECT host, a / (a + b) - {hosts.Z} * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) > {hosts.BLOCK_ABOVE} AS blocked FROM ph)
+SELECT page_id, host, path, CASE {_FITS.format(*[rule for rule, _ in URL_RULES])} END AS rule,
+       coalesce(CASE {_FITS.format(*[decision for _, decision in URL_RULES])} END,
+                CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN known USING (host)
+"""
