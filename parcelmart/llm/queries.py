@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import decontaminate, fingerprints, hosts, jaccard, packing, phrases, toxicity, wavelet
+from parcelmart.llm import decontaminate, fingerprints, hosts, jaccard, language, packing, phrases, toxicity, wavelet
 from parcelmart.llm.common import table
 from parcelmart.shared import scratch_path
 
@@ -38,6 +38,11 @@ def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
 
 
+@_query
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_id(table(spark, folder, "documents")).drop("shares")
+
+
 @_query
 def op4_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.substring_removal(table(spark, folder, "documents"))
