@@ -112,11 +112,11 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], n
                 own[buckets] += counts
         for lang, own in sums.items():
             present = np.flatnonzero(own)
-            columns = [pa.array([lang] * len(present)), pa.array(present.astype(np.int32)), pa.array(own[present])]
+            columns = [pa.array([lang] * len(present), pa.string()), pa.array(present, pa.int32()), pa.array(own[present], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n"])
 
     counted = sample.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counted.toPandas()  # at most BUCKETS rows for each language
+    table = counted.toPandas().astype({"bucket": "int64", "n": "int64"})  # at most BUCKETS rows for each language
     languages = sorted(table["lang"].unique())
     rows = np.full((BUCKETS, len(languages)), SMOOTH)
     rows[table["bucket"], [languages.index(x) for x in table["lang"]]] += table["n"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import decontaminate, fingerprints, hosts, jaccard, language, packing, phrases, toxicity, wavelet
+from parcelmart.llm import blocks, decontaminate, fingerprints, hosts, jaccard, language, packing, phrases, toxicity, wavelet
 from parcelmart.llm.common import table
 from parcelmart.shared import scratch_path
 
@@ -53,6 +53,11 @@ def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, folder, "documents"))
 
 
+@_query
+def op5_html(spark: SparkSession, folder: str) -> DataFrame:
+    return blocks.extract(table(spark, folder, "pages"))
+
+
 # The rules the query is given.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
