@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -34,7 +36,7 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
     """Make ``path`` appear with its whole content at once; fail if it is already there."""
-    draft = f"{path}.draft"
+    draft = f"{path}.{uuid.uuid4().hex}.draft"  # two writers of one path do not share it
     stream = _file_system(spark, draft).create(_path(spark, draft), True)
     try:
         stream.write(bytearray(text.encode("utf-8")))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -26,6 +27,8 @@ class Version:
     run_id: int = 0
     folders: dict[str, list[str]] = field(default_factory=dict)
     schemas: dict[str, dict] = field(default_factory=dict)
+    #: Place in the line of published versions; a draft takes the place behind the version it started from.
+    number: int = 0
 
 
 class PublishedTables:
@@ -33,23 +36,23 @@ class PublishedTables:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _pointer(self, run_id: int) -> str:
-        return f"{self.root}/_published/{run_id:08d}.json"
+    def _pointer(self, number: int) -> str:
+        return f"{self.root}/_published/{number:08d}.json"
 
-    def _published_runs(self) -> list[int]:
+    def _published(self) -> list[int]:
         names = child_names(self.spark, f"{self.root}/_published")
         return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
 
-    def _version(self, run_id: int) -> Version:
-        return Version(**json.loads(read_text(self.spark, self._pointer(run_id))))
+    def _version(self, number: int) -> Version:
+        return Version(**json.loads(read_text(self.spark, self._pointer(number))))
 
     def latest(self) -> Version:
-        runs = self._published_runs()
-        return self._version(runs[-1]) if runs else Version()
+        numbers = self._published()
+        return self._version(numbers[-1]) if numbers else Version()
 
     def next_run_id(self) -> int:
         """One more than any run that was started, finished or not, so that no folder is written twice."""
-        started = [int(name) for name in child_names(self.spark, f"{self.root}/_runs")]
+        started = [int(name) for name in child_names(self.spark, f"{self.root}/_runs") if name.isdigit()]
         run_id = max([self.latest().run_id, *started]) + 1
         publish_text(self.spark, f"{self.root}/_runs/{run_id:08d}", "")
         return run_id
@@ -107,24 +110,36 @@ class PublishedTables:
             run_id=self.next_run_id(),
             folders={table: list(folders) for table, folders in latest.folders.items()},
             schemas=dict(latest.schemas),
+            number=latest.number + 1,
         )
 
     def publish(self, version: Version) -> None:
-        """Make ``version`` the latest one; fails if another run published meanwhile."""
-        if self.latest().run_id >= version.run_id or exists(self.spark, self._pointer(version.run_id)):
-            raise RuntimeError(f"run {version.run_id} was overtaken by another run")
-        publish_text(self.spark, self._pointer(version.run_id), json.dumps(vars(version), indent=1))
+        """Make ``version`` the latest one; fails if any run published since its draft began.
+
+        A draft holds the folders of the version it started from, so publishing it over a newer one would take back
+        that one's tables. Both would have the same number, and only one file of a name can be created.
+        """
+        overtaken = RuntimeError(f"run {version.run_id} was overtaken by another run")
+        if self.latest().number + 1 != version.number:
+            raise overtaken
+        pointer = self._pointer(version.number)
+        try:
+            publish_text(self.spark, pointer, json.dumps(vars(version), indent=1))
+        except Py4JJavaError as failure:
+            if exists(self.spark, pointer):
+                raise overtaken from failure
+            raise
 
     def expire(self, keep: int) -> None:
         """Delete what none of the last ``keep`` published versions uses; unfinished newer runs are left alone."""
-        runs = self._published_runs()
-        kept = [self._version(run_id) for run_id in runs[-keep:]]
-        for run_id in runs[:-keep]:
-            delete_folder(self.spark, self._pointer(run_id))
+        numbers = self._published()
+        kept = [self._version(number) for number in numbers[-keep:]]
+        for number in numbers[:-keep]:
+            delete_folder(self.spark, self._pointer(number))
         used = {folder for version in kept for folders in version.folders.values() for folder in folders}
         for table in {table for version in kept for table in version.folders}:
             for name in child_names(self.spark, f"{self.root}/{table}"):
-                if not name.startswith(f"{RUN_FOLDER}=") or int(name.split("=")[1]) > runs[-1]:
+                if not name.startswith(f"{RUN_FOLDER}=") or int(name.split("=")[1]) > kept[-1].run_id:
                     continue
                 folder = f"{table}/{name}"
                 parts = [f"{folder}/{part}" for part in child_names(self.spark, f"{self.root}/{folder}") if "=" in part]

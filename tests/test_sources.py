@@ -67,6 +67,31 @@ def test_versions_are_invisible_until_published(spark, tmp_path):
         tables.publish(second)
 
 
+@pytest.mark.parametrize("order", [("load", "model"), ("model", "load"), ("load", "load")])
+def test_a_draft_from_an_older_version_is_refused(spark, tmp_path, order):
+    tables = PublishedTables(spark, str(tmp_path))
+    base = tables.draft()
+    tables.write(base, "core", spark.range(1))
+    tables.publish(base)
+    drafts = [tables.draft() for _ in order]
+    for draft, kind in zip(drafts, order, strict=True):
+        tables.append(draft, {"load": "core", "model": "ml"}[kind], spark.range(4))
+    tables.publish(drafts[1])  # begun later, published first
+    with pytest.raises(RuntimeError, match="overtaken"):
+        tables.publish(drafts[0])
+    assert tables.read(tables.latest(), "core").count() == (5 if order[1] == "load" else 1)
+
+
+def test_two_writers_of_one_number_cannot_both_win(spark, tmp_path, monkeypatch):
+    tables = PublishedTables(spark, str(tmp_path))
+    drafts = [tables.draft(), tables.draft()]
+    old = tables.latest()
+    monkeypatch.setattr(tables, "latest", lambda: old)  # both looked before either wrote
+    tables.publish(drafts[1])
+    with pytest.raises(RuntimeError, match="overtaken"):
+        tables.publish(drafts[0])
+
+
 def test_expired_versions_free_their_folders_but_shared_ones_stay(spark, tmp_path):
     tables = PublishedTables(spark, str(tmp_path))
     frame = spark.range(6).select("id", (F.col("id") % 3).cast("int").alias("part"))
