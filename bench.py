@@ -77,7 +77,7 @@ def main() -> None:
             )
         ),
     )
-    timed("model_run", lambda: run_late_model(spark, root, max_trees=load_queries.TREES))
+    timed("model_run", lambda: run_late_model(spark, root))
     timed("r1_from_given_tables", lambda: run_all(report_queries.monthly(spark, folder)))
     timed("r2_from_given_tables", lambda: run_all(report_queries.categories(spark, folder)))
     timed("r3_from_given_tables", lambda: run_all(report_queries.states(spark, folder)))

@@ -28,8 +28,6 @@ from parcelmart.sources.staging import COLUMNS, as_text, typed
 # At noon, so that the day is the same in most time zones.
 FIRST_RUN, SECOND_RUN = datetime(2001, 3, 1, 12, tzinfo=UTC), datetime(2001, 9, 1, 12, tzinfo=UTC)
 
-# Enough trees for the given data, whose labels hardly depend on the features.
-TREES = 20
 
 _built: dict[tuple, str] = {}
 
@@ -54,7 +52,7 @@ def warehouse(spark: SparkSession, folder: str) -> str:
 
 def modelled(spark: SparkSession, folder: str) -> str:
     root = warehouse(spark, folder)
-    _once("model", spark, folder, lambda marker: run_late_model(spark, root, max_trees=TREES))
+    _once("model", spark, folder, lambda marker: run_late_model(spark, root))
     return root
 
 

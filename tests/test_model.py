@@ -131,3 +131,11 @@ def test_a_failed_store_leaves_no_model_behind(spark, small_warehouse, monkeypat
         run_late_model(spark, small_warehouse, max_trees=1)
     assert PublishedTables(spark, small_warehouse).latest().run_id == before
     assert child_names(spark, f"{small_warehouse}/ml/models") == models
+
+
+@pytest.mark.parametrize(
+    ("losses", "patience", "kept"),
+    [([3, 2, 2.5, 1, 4], 50, 4), ([3, 2, 2.5, 2.6, 1], 2, 2), ([1], 50, 1), ([5, 5, 5], 50, 1), ([3, 2, 4, 1, 4, 4, 0], 2, 4)],
+)
+def test_the_prefix_before_patience_ran_out_is_kept(losses, patience, kept):
+    assert late_model.best_prefix(losses, patience) == kept
