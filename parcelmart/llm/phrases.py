@@ -4,14 +4,15 @@ A passage recurs if a window of ``length`` consecutive words starts at two place
 
 1. Anchors. Each window names the smallest hash of its inner phrases of eight words; equal windows name the same one.
    One word in fourteen is an anchor, so counting anchors shuffles a fraction of the words. Anchors met once end here.
-2. Segments. The words around an anchor met twice or more, just enough to hold the windows that name it.
+2. Segments. The words around an anchor met twice or more, just enough to hold the windows that name it. Equal texts
+   are one text from here on, with a mark that all its windows recur.
 3. Confirmation. Windows of segments are counted by hash, combined before the shuffle; those met twice recur.
 4. Location. Segments are dealt to shards by anchor. Each shard compiles the recurring windows it holds into one
    Aho-Corasick automaton over word codes and streams all its segments through it; the automaton sees words, not
    hashes. A shard holds all places of its windows, so a window that it holds once (a collision of hashes) is left
    out again; only for anchors split over shards the 64-bit count alone decides.
 
-An anchor that a third of all documents share is split over many shards by document; each gets the same confirmed
+An anchor that a third of all documents share is spread over many tasks by document; each gets the same confirmed
 windows. Groups hold about ``shard_rows`` segments, so memory does not grow with the table.
 
 Defined results: null and empty texts have no words; documents shorter than a window lose nothing; repeated rows are
@@ -32,12 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import row_key
 from parcelmart.shared import written
 
 LENGTH = 35
 INNER = 8
 SHARD_ROWS = 2000
+SPREAD_BITS = 20
 STORED_WORDS = 300_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
@@ -74,157 +75,166 @@ def _run_hashes(words: list[bytes], size: int) -> np.ndarray:
         width *= 2
 
 
-def _anchors(words: list[bytes], length: int, inner: int) -> np.ndarray:
-    """For each window the place of its smallest inner hash, the first of equals; and the inner hashes."""
+def _anchors(words: list[bytes], length: int, inner: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window its smallest inner hash, and at which of the words that lies (the first of equals)."""
     hashes = _run_hashes(words, inner)
     span = length - inner + 1
     if len(hashes) < span:
-        return np.zeros(0, np.int64), hashes
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     views = np.lib.stride_tricks.sliding_window_view(hashes, span)
-    return views.argmin(axis=1) + np.arange(len(views)), hashes
+    places = views.argmin(axis=1) + np.arange(len(views))
+    return hashes[places], places
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), row_key("text").alias("_key"), F.col("text").cast("binary").alias("t"))
+def text_key(text: str = "text"):
+    """Equal for equal texts, 128 bits; null and empty texts are alike here."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
 def anchors(docs: DataFrame, length: int, inner: int) -> DataFrame:
-    """One row per anchor: ``doc_id, _key, anchor`` (hash) and its place."""
-    names = ["doc_id", "_key", "anchor", "place"]
+    """One row per document and anchor: ``key`` (of the text), ``anchor`` (hash) and the number of its places."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[], [], [], []]
-            for doc_id, key, text in zip(*batch.columns, strict=True):
-                places, hashes = _anchors((text.as_py() or b"").split(), length, inner)
-                places = np.unique(places)
-                found[0].append(pa.repeat(pa.scalar(doc_id.as_py(), pa.int64()), len(places)))
-                found[1].append(np.full(len(places), key.as_py(), np.int64))
-                found[2].append(hashes[places].view(np.int64))
-                found[3].append(places.astype(np.int32))
-            flat = [pa.concat_arrays(found[0]), *(pa.array(np.concatenate(c)) for c in found[1:])]
-            yield pa.RecordBatch.from_arrays(flat, names)
+            keys, found, places = [], [], []
+            for key, text in zip(*batch.columns, strict=True):
+                named, at = _anchors((text.as_py() or b"").split(), length, inner)
+                if len(named):
+                    first = np.concatenate(([True], at[1:] != at[:-1]))
+                    own, n = np.unique(named[first], return_counts=True)
+                    keys.append(pa.repeat(key, len(own)))
+                    found.append(own.view(np.int64))
+                    places.append(n.astype(np.int32))
+            if keys:
+                columns = [pa.concat_arrays(keys), pa.array(np.concatenate(found)), pa.array(np.concatenate(places))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "anchor", "places"])
 
-    return _keyed(docs).mapInArrow(find, "doc_id long, _key long, anchor long, place int")
+    source = docs.select(text_key().alias("key"), F.col("text").cast("binary").alias("t"))
+    return source.mapInArrow(find, "key binary, anchor long, places int")
 
 
-def _segments(docs: DataFrame, places: DataFrame, length: int, inner: int) -> DataFrame:
-    """The words around each recurring anchor: those of the windows that name it. ``first``: number of the first word."""
-    names = ["doc_id", "_key", "anchor", "met", "first", "words"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+SEGMENT = "key binary, first int, dest long, alike boolean, words binary, hashes binary"
+
+
+def _segments(texts: DataFrame, length: int, inner: int, shards: int, shard_rows: int) -> DataFrame:
+    """Words around recurring anchors: for each stretch of windows that name one anchor, the words and window hashes.
+
+    ``first``: number of the first word. ``dest``: the anchor's shard and over how many tasks the shard is spread for
+    it. ``alike``: other documents have the same text.
+    """
+    names = [x.split()[0] for x in SEGMENT.split(", ")]
+    kinds = [pa.binary(), pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = [[] for _ in names]
-                for doc_id, key, text, marks in zip(*batch.slice(at, 500).columns, strict=True):
-                    words = text.as_py().split()
+                for key, text, copies, marks in zip(*batch.slice(at, 500).columns, strict=True):
+                    key, alike, words = key.as_py(), copies.as_py() > 1, text.as_py().split()
+                    wanted = {m["anchor"]: m["met"] for m in marks.as_py()}
                     named, _ = _anchors(words, length, inner)
-                    for mark in marks.as_py():
-                        low, high = np.searchsorted(named, [mark["place"], mark["place"] + 1])
-                        part = b" ".join(words[low : high + length - 1])
-                        row = (doc_id.as_py(), key.as_py(), mark["anchor"], mark["met"], low, part)
-                        for column, value in zip(rows, row, strict=True):
-                            column.append(value)
+                    hashes = _run_hashes(words, length)
+                    edges = np.flatnonzero(np.concatenate(([True], named[1:] != named[:-1], [True])))
+                    for low, high, anchor in zip(edges[:-1], edges[1:], named[edges[:-1]].view(np.int64).tolist()):
+                        if met := wanted.get(anchor):
+                            dest = anchor % shards << SPREAD_BITS | min(-(-met // shard_rows), (1 << SPREAD_BITS) - 1)
+                            part = b" ".join(words[low : high + length - 1])
+                            row = (key, low, dest, alike, part, hashes[low:high].tobytes())
+                            for column, value in zip(rows, row, strict=True):
+                                column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
 
-    keyed = _keyed(docs)
-    marked = keyed.join(
-        places.withColumnsRenamed({"doc_id": "_doc", "_key": "_text"}),
-        keyed["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text")),
-    ).select("doc_id", "_key", "t", "marks")
-    return marked.mapInArrow(cut, "doc_id long, _key long, anchor long, met long, first int, words binary")
+    return texts.select("key", "t", "copies", "marks").mapInArrow(cut, SEGMENT)
 
 
-def _windows(segments: DataFrame, length: int) -> DataFrame:
-    """One row per window of a segment: its hash and its anchor."""
+def _windows(segments: DataFrame) -> DataFrame:
+    """One row per window of a segment, two if other documents have the text: its hash and destination."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [_run_hashes(words.as_py().split(), length) for words in batch.column(1)]
-            sizes = [len(h) for h in hashes]
-            anchor = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
-            flat = np.concatenate(hashes).view(np.int64) if hashes else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(anchor)], ["hash", "anchor"])
+            found = [h.as_py() for h in batch.column(2)]
+            times = np.where(batch.column(1).to_numpy(zero_copy_only=False), 2, 1)
+            sizes = np.array([len(h) // 8 for h in found], dtype=np.int64)
+            each_ = np.repeat(times, sizes)
+            flat = np.repeat(np.frombuffer(b"".join(found), np.int64), each_)
+            dest = np.repeat(np.repeat(batch.column(0).to_numpy(), sizes), each_)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(dest)], ["hash", "dest"])
 
-    return segments.select("anchor", "words").mapInArrow(each, "hash long, anchor long")
+    return segments.select("dest", "alike", "hashes").mapInArrow(each, "hash long, dest long")
 
 
-def _locate(length: int, shard_rows: int):
+def _locate(length: int):
     def run(key: tuple, segments: pd.DataFrame, recurring: pd.DataFrame) -> pd.DataFrame:
         """One shard: compile the recurring windows, stream the segments, give the runs of windows found."""
-        wanted, codes, places = set(recurring["hash"]), {}, Counter()
-        texts = []
-        for raw, met in zip(segments["words"], segments["met"], strict=True):
-            words = raw.split()
+        wanted, codes, places, texts = set(recurring["hash"]), {}, Counter(), []
+        alone = (segments["dest"] & ((1 << SPREAD_BITS) - 1)) <= 1
+        for raw, data, alike, whole in zip(segments["words"], segments["hashes"], segments["alike"], alone, strict=True):
             # One character for each different word of the shard, past the surrogates.
-            text = "".join([chr(n + 0x100 if n < 0xD600 else n + 0x900) for n in (codes.setdefault(w, len(codes)) for w in words)])
+            numbers = [codes.setdefault(w, len(codes)) for w in raw.split()]
+            text = "".join([chr(n + 0x100 if n < 0xD600 else n + 0x900) for n in numbers])
             texts.append(text)
-            for i, h in enumerate(_run_hashes(words, length).view(np.int64).tolist()):
+            weight = 1 if whole and not alike else 2
+            for i, h in enumerate(np.frombuffer(data, np.int64).tolist()):
                 if h in wanted:
-                    places[text[i : i + length]] += 1 if met <= shard_rows else 2
+                    places[text[i : i + length]] += weight
         patterns = [pattern for pattern, n in places.items() if n > 1]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for pattern in patterns:
             automaton.add_word(pattern)
         automaton.make_automaton()
         rows = []
-        columns = (segments["doc_id"], segments["_key"], segments["first"])
-        for doc_id, own, first, text in zip(*columns, texts, strict=True):
+        for own, first, text in zip(segments["key"], segments["first"], texts, strict=True):
             start = last = None
             for end, _ in automaton.iter(text) if patterns else ():
                 if last is not None and end != last + 1:
-                    rows.append((doc_id, own, first + start, first + last + 1))
+                    rows.append((own, first + start, first + last + 1))
                     start = None
                 start, last = end - length + 1 if start is None else start, end
             if last is not None:
-                rows.append((doc_id, own, first + start, first + last + 1))
-        found = pd.DataFrame(rows, columns=["doc_id", "_key", "start", "stop"])
-        return found.astype({"doc_id": "Int64", "_key": "int64", "start": "int32", "stop": "int32"})
+                rows.append((own, first + start, first + last + 1))
+        found = pd.DataFrame(rows, columns=["key", "start", "stop"])
+        return found.astype({"start": "int32", "stop": "int32"})
 
     return run
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, inner: int = INNER, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Per document content (``doc_id, _key``): ``spans``, word ranges covered by recurring windows."""
+    """Per text (``key``): ``spans``, word ranges covered by recurring windows."""
     all_anchors = written(anchors(docs, length, inner), "anchors")
-    counts = all_anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
-    marks = all_anchors.join(counts, "anchor").groupBy("doc_id", "_key").agg(
-        F.collect_set(F.struct("anchor", "place", "met")).alias("marks")  # bounded by one document's words
+    counts = all_anchors.groupBy("anchor").agg(F.sum("places").alias("met")).where("met > 1")
+    recurring_anchors = written(all_anchors.join(counts, "anchor").select("key", "anchor", "met"), "recurring")
+    marks = recurring_anchors.groupBy("key").agg(
+        F.collect_set(F.struct("anchor", "met")).alias("marks")  # bounded by one document's words
+    )
+    # Copies are combined before the shuffle: a text that a third of all documents share moves once per task.
+    texts = docs.select(text_key().alias("key"), F.col("text").cast("binary").alias("t")).groupBy("key").agg(
+        F.first("t").alias("t"), F.count(F.lit(1)).alias("copies")
     )
-    segments = written(_segments(docs, marks, length, inner), "segments")
+    shards = max(1, recurring_anchors.count() // shard_rows)
+    segments = written(_segments(texts.join(marks, "key"), length, inner, shards, shard_rows), "segments")
     recurring = (
-        _windows(segments, length)
-        .groupBy("hash")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("anchor").alias("anchor"))
-        .where("n > 1")
+        _windows(segments).groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.first("dest").alias("dest")).where("n > 1")
     )
-    shards = max(1, segments.count() // shard_rows)
-    salts = F.greatest(F.lit(1), F.ceil(F.col("met") / shard_rows)).cast("long")
-    shard = F.pmod("anchor", F.lit(shards))
-    dealt = segments.withColumn("_shard", shard).withColumn("_salt", F.pmod(F.xxhash64("doc_id", "_key", "first"), salts))
-    met = segments.groupBy("anchor").agg(F.first("met").alias("met"))
-    copies = (
-        recurring.join(met, "anchor")
-        .withColumn("_shard", shard)
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
-        .select("_shard", "_salt", "hash")
+    tasks = F.col("dest").bitwiseAND(F.lit((1 << SPREAD_BITS) - 1))
+    shard = F.shiftright("dest", SPREAD_BITS)
+    own = F.pmod(F.xxhash64("key", "first"), F.greatest(tasks, F.lit(1)))
+    dealt = segments.withColumn("_shard", shard).withColumn("_salt", own)
+    copies = recurring.select(
+        shard.alias("_shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(tasks, F.lit(1)) - 1)).alias("_salt"), "hash"
     )
     runs = (
         dealt.groupBy("_shard", "_salt")
         .cogroup(copies.groupBy("_shard", "_salt"))
-        .applyInPandas(_locate(length, shard_rows), "doc_id long, _key long, start int, stop int")
+        .applyInPandas(_locate(length), "key binary, start int, stop int")
     )
-    return runs.groupBy("doc_id", "_key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    return runs.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """All rows and columns of ``docs`` with ``kept`` (binary: kept words, one blank between), ``n_words``, ``n_removed``."""
     spans = repeated_spans(docs, length)
-    keyed = docs.withColumn("_key", row_key("text"))
-    found = spans.withColumnsRenamed({"doc_id": "_doc", "_key": "_text"})
-    own = keyed["doc_id"].cast("long").eqNullSafe(found["_doc"]) & (keyed["_key"] == found["_text"])
-    met = keyed.join(found, own, "left").select(*[keyed[c] for c in docs.columns], found["spans"].alias("_spans"))
+    keyed = docs.withColumn("_key", text_key())
+    met = keyed.join(spans, keyed["_key"] == spans["key"], "left").select(*[keyed[c] for c in docs.columns], spans["spans"].alias("_spans"))
 
     @F.pandas_udf("kept binary, n_words long, n_removed long")
     def keep(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
