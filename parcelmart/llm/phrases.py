@@ -56,12 +56,15 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
-def _run_hashes(words: list[bytes], size: int) -> np.ndarray:
-    """A hash for each run of ``size`` words, by doubling: of two runs, of four, and so on."""
-    count = len(words) - size + 1
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def run_hashes(run: np.ndarray, size: int) -> np.ndarray:
+    """A hash for each run of ``size`` words, from their hashes, by doubling: of two runs, of four, and so on."""
+    count = len(run) - size + 1
     if count <= 0:
         return np.zeros(0, np.uint64)
-    run = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
     out, done, width = np.full(count, np.uint64(size)), 0, 1
     while True:
         if size & width:
@@ -75,9 +78,9 @@ def _run_hashes(words: list[bytes], size: int) -> np.ndarray:
         width *= 2
 
 
-def _anchors(words: list[bytes], length: int, inner: int) -> tuple[np.ndarray, np.ndarray]:
+def _anchors(words: np.ndarray, length: int, inner: int) -> tuple[np.ndarray, np.ndarray]:
     """For each window its smallest inner hash, and at which of the words that lies (the first of equals)."""
-    hashes = _run_hashes(words, inner)
+    hashes = run_hashes(words, inner)
     span = length - inner + 1
     if len(hashes) < span:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -98,7 +101,7 @@ def anchors(docs: DataFrame, length: int, inner: int) -> DataFrame:
         for batch in batches:
             keys, found, places = [], [], []
             for key, text in zip(*batch.columns, strict=True):
-                named, at = _anchors((text.as_py() or b"").split(), length, inner)
+                named, at = _anchors(word_hashes((text.as_py() or b"").split()), length, inner)
                 if len(named):
                     first = np.concatenate(([True], at[1:] != at[:-1]))
                     own, n = np.unique(named[first], return_counts=True)
@@ -132,8 +135,9 @@ def _segments(texts: DataFrame, length: int, inner: int, shards: int, shard_rows
                 for key, text, copies, marks in zip(*batch.slice(at, 500).columns, strict=True):
                     key, alike, words = key.as_py(), copies.as_py() > 1, text.as_py().split()
                     wanted = {m["anchor"]: m["met"] for m in marks.as_py()}
-                    named, _ = _anchors(words, length, inner)
-                    hashes = _run_hashes(words, length)
+                    numbers = word_hashes(words)
+                    named, _ = _anchors(numbers, length, inner)
+                    hashes = run_hashes(numbers, length)
                     edges = np.flatnonzero(np.concatenate(([True], named[1:] != named[:-1], [True])))
                     for low, high, anchor in zip(edges[:-1], edges[1:], named[edges[:-1]].view(np.int64).tolist()):
                         if met := wanted.get(anchor):
@@ -163,15 +167,22 @@ def _windows(segments: DataFrame) -> DataFrame:
     return segments.select("dest", "alike", "hashes").mapInArrow(each, "hash long, dest long")
 
 
+class _Codes(dict):
+    """One character for each different word of a shard, past the surrogates."""
+
+    def __missing__(self, word: bytes) -> str:
+        n = len(self)
+        self[word] = found = chr(n + 0x100 if n < 0xD600 else n + 0x900)
+        return found
+
+
 def _locate(length: int):
     def run(key: tuple, segments: pd.DataFrame, recurring: pd.DataFrame) -> pd.DataFrame:
         """One shard: compile the recurring windows, stream the segments, give the runs of windows found."""
-        wanted, codes, places, texts = set(recurring["hash"]), {}, Counter(), []
+        wanted, codes, places, texts = set(recurring["hash"]), _Codes(), Counter(), []
         alone = (segments["dest"] & ((1 << SPREAD_BITS) - 1)) <= 1
         for raw, data, alike, whole in zip(segments["words"], segments["hashes"], segments["alike"], alone, strict=True):
-            # One character for each different word of the shard, past the surrogates.
-            numbers = [codes.setdefault(w, len(codes)) for w in raw.split()]
-            text = "".join([chr(n + 0x100 if n < 0xD600 else n + 0x900) for n in numbers])
+            text = "".join(map(codes.__getitem__, raw.split()))
             texts.append(text)
             weight = 1 if whole and not alike else 2
             for i, h in enumerate(np.frombuffer(data, np.int64).tolist()):

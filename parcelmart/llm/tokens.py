@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-STORED_WORDS = 300_000
+#: In each of two generations.
+STORED_WORDS = 450_000
 LATIN_END = "\u0250"
 DOTTED_I = "\u0130"  # its lower case is a letter and a mark
 
@@ -31,16 +32,23 @@ def id_bytes(ids: list[int]) -> bytes:
 
 
 class Words(dict):
-    """Ids (little-endian, 32 bits each) of a word behind a blank or line break; cleared when it holds too many."""
+    """Ids (little-endian, 32 bits each) of a word behind a blank or line break.
+
+    When full it becomes the older generation; words met again come back from there, the others are forgotten.
+    """
 
     def __init__(self, encode: Callable[[str], list[int]], lead: str, latin: Callable[[str], list[int]]):
         super().__init__()
-        self.encode, self.lead, self.latin = encode, lead, latin
+        self.encode, self.lead, self.latin, self.older = encode, lead, latin, {}
         self.ends = {mark: id_bytes(encode(mark)) for mark in ".,"}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= STORED_WORDS:
+            self.older = dict(self)
             self.clear()
+        if (known := self.older.get(word)) is not None:
+            self[word] = known
+            return known
         if word[-1:] in self.ends and word[-2:-1].isalpha() and word[-2] < LATIN_END and word[-2] != DOTTED_I:
             ids = self[word[:-1]] + self.ends[word[-1]]
         elif word.isalpha() and max(word) < LATIN_END and DOTTED_I not in word:
