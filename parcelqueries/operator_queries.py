@@ -326,12 +326,10 @@ def review_per_order(spark, folder):
     return facts.review_per_order(Star(spark, folder).staged("order_reviews"))
 
 
-@query("o3_main_item", pick("features", "order_id main_category seller_state") + " WHERE is_late IS NOT NULL")
+@query("o3_main_item", pick("line_summary", "order_id main_category seller_state"))
 def main_item(spark, folder):
     star = Star(spark, folder)
-    delivered = star.fact_orders("order_id", "order_status", "delivered_date_key").where(reporting.is_delivered())
-    dearest = features.main_item(star.order_lines(), star.dim_product(), star.dim_seller())
-    return dearest.join(delivered.select("order_id"), "order_id", "left_semi")
+    return features.main_item(star.order_lines(), star.dim_product(), star.dim_seller())
 
 
 # ---- dimensions
