@@ -297,3 +297,34 @@ def model_orders_at_risk(spark, folder):
 @query("l14_model_deciles")
 def model_deciles(spark, folder):
     return test_risk_deciles(_ml(spark, folder, "order_late_predictions")).orderBy("risk_group")
+
+
+# ---- what is known of a model run without its scores
+
+query(
+    "l12_run_sizes",
+    """SELECT count(CASE WHEN data_split = 'train' THEN 1 END) AS train_rows, count(CASE WHEN data_split = 'valid' THEN 1 END) AS valid_rows,
+              count(CASE WHEN data_split = 'test' THEN 1 END) AS test_rows,
+              (SELECT CAST(CAST(valid_from AS DATE) AS VARCHAR) FROM cuts) AS valid_from_date,
+              (SELECT CAST(CAST(test_from AS DATE) AS VARCHAR) FROM cuts) AS test_from_date
+       FROM splits""",
+)(
+    lambda spark, folder: _ml(spark, folder, "model_runs").select(
+        "train_rows", "valid_rows", "test_rows", "valid_from_date", "test_from_date"
+    )
+)
+query("l10_importance_total", "SELECT 17 AS features, 100 AS total_pct FROM (SELECT count(*) FROM splits)")(
+    lambda spark, folder: _ml(spark, folder, "feature_importance").agg(
+        F.count_distinct("feature").cast("int").alias("features"),
+        F.round(F.sum("importance_pct")).cast("int").alias("total_pct"),
+    )
+)
+query(
+    "l14_model_decile_sizes",
+    """SELECT CAST(risk_group AS INTEGER) AS risk_group, count(*) AS orders
+       FROM (SELECT ntile(10) OVER (ORDER BY order_id) AS risk_group FROM splits WHERE data_split = 'test') GROUP BY risk_group""",
+)(
+    lambda spark, folder: test_risk_deciles(_ml(spark, folder, "order_late_predictions")).select(
+        F.col("risk_group").cast("int").alias("risk_group"), "orders"
+    )
+)
