@@ -8,10 +8,10 @@ the whole page. Blocks labelled as article text are joined in page order.
 Labels for fitting come from pages that mark their article (``article`` or ``main``). Since sites mark it in many ways,
 every sampled page is also shown with its containers renamed, with parts of other kinds (side bars, notices, forms,
 reader comments) put around and into the article, and filled with words of other pages. Fitting is one task over
-``sample_pages`` pages; labelling is a Pandas UDF over all pages, whole texts.
+``sample_pages`` pages with such tags; labelling is a Pandas UDF over all pages, whole texts.
 
 Defined results: null and empty pages, and pages whose every block is rejected, give an empty text; text outside any
-tag is a block of its own; unclosed tags end with the page; without a page to fit on, path rules alone decide
+tag is a block of its own; unclosed tags end with the page; if no page marks its article, path rules alone decide
 (``article`` or ``main``); repeated rows get equal results. Only ``page_id``, ``url``, ``html`` are read.
 """
 
@@ -341,18 +341,33 @@ def main_texts(pages: list[str | None], weights: dict | None, group: int = 200)
     return out
 
 
+def drawn_pages(pages: DataFrame, sample_pages: int) -> tuple[DataFrame, bool]:
+    """At most ``sample_pages`` different pages with an ``article`` or ``main`` tag, and whether there are more of them.
+
+    Pages are ordered by a hash of id and html and the first are taken, so the number drawn does not follow the size of
+    the table, and neither an id (or null) with many rows nor a page with many copies fills the draw.
+    """
+    draw = F.xxhash64("page_id", "html").alias("draw")
+    tagged = pages.where(F.col("html").rlike(r"(?iU)<(article|main)[\s/>.]")).select("page_id", "html", draw)
+    first = [r.draw for r in tagged.select("draw").distinct().orderBy("draw").limit(sample_pages + 1).collect()]
+    last = max(first[:sample_pages], default=None)
+    chosen = tagged.where(F.col("draw") <= F.lit(last).cast("long")).dropDuplicates(["draw"])
+    return chosen.select("page_id", "html"), len(first) > sample_pages
+
+
 def fit_model(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> bytes:
-    """Fit in one task on about ``sample_pages`` pages, drawn by a hash of ``page_id``."""
-    known = pages.select("page_id", "html").where("html IS NOT NULL")
-    share = min(1.0, sample_pages / max(1, known.count()))
-    sample = known.where(F.pmod(F.xxhash64("page_id"), F.lit(1_000_000)) < int(share * 1_000_000)).repartition(1)
+    """Fit in one task on ``sample_pages`` pages with an ``article`` or ``main`` tag, or on all if there are fewer."""
+    sample, more = drawn_pages(pages, sample_pages)
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([*frames, pd.DataFrame({"page_id": [], "html": []})]).sort_values(["page_id", "html"])
         yield pd.DataFrame({"model": [pickle.dumps(fit(rows["html"].tolist()))]})
 
-    found = sample.mapInPandas(learn, "model binary").collect()
-    return bytes(found[0]["model"]) if found else pickle.dumps(None)
+    found = sample.repartition(1).mapInPandas(learn, "model binary").collect()
+    model = bytes(found[0]["model"]) if found else pickle.dumps(None)
+    if more and pickle.loads(model) is None:
+        raise ValueError(f"none of {sample_pages} drawn pages marks its article, but more pages have such tags")
+    return model
 
 
 def extract(pages: DataFrame, model: bytes | None = None) -> DataFrame:

@@ -90,3 +90,30 @@ def test_without_marked_pages(spark):
     frame = spark.createDataFrame([(1, "u", "<div>x</div>")], "page_id long, url string, html string")
     assert [r.text for r in blocks.extract(frame).collect()] == [""]
     assert blocks.extract(frame.limit(0)).collect() == []
+
+
+def test_draw_does_not_follow_size_ids_or_copies(spark):
+    import pickle
+
+    schema = "page_id long, url string, html string"
+    many = spark.range(1_100_000).selectExpr("id AS page_id", "'u' AS url", "concat('<article><p>word', id, ' x</p></article>') AS html")
+    assert pickle.loads(blocks.fit_model(many, 1)) is not None
+    nulls = [(None, "u", page(i)[0]) for i in range(300)] + [(5, "u", page(i)[0]) for i in range(300, 600)] + [(7, "u", page(7)[0])] * 300
+    sample, more = blocks.drawn_pages(spark.createDataFrame(nulls, schema), 30)
+    drawn = [tuple(r) for r in sample.collect()]
+    assert len(set(drawn)) == len(drawn) == 30 and more
+    assert {i for i, _ in drawn} >= {None, 5}
+    few, more = blocks.drawn_pages(spark.createDataFrame([(7, "u", page(7)[0])] * 300 + [(8, "u", None)], schema), 30)
+    assert few.count() == 1 and not more
+
+
+def test_few_marked_pages_are_found(spark):
+    import pickle
+
+    schema = "page_id long, url string, html string"
+    rows = [(i, "u", page(i)[0].replace("article>", "div>")) for i in range(400)] + [(500, "u", page(500)[0])]
+    assert pickle.loads(blocks.fit_model(spark.createDataFrame(rows, schema), 5)) is not None
+    hidden = spark.createDataFrame([(i, "u", f"<!-- <article> --><p>{i}</p>") for i in range(9)], schema)
+    with pytest.raises(ValueError, match="more pages have such tags"):
+        blocks.fit_model(hidden, 5)
+    assert pickle.loads(blocks.fit_model(hidden, 9)) is None
