@@ -178,3 +178,14 @@ def deciles(spark, folder):
 def ntile_over_orders(spark, folder):
     orders = Star(spark, folder).fact_orders("order_id", "payment_value").where(F.col("payment_value").isNotNull())
     return with_ntile(orders, 10, F.col("payment_value"), F.col("order_id")).select("order_id", "bucket")
+
+
+@query(
+    "w13_ntile_over_all_orders",
+    """SELECT order_id, CAST(ntile(10) OVER (ORDER BY payment_value ASC NULLS LAST, order_id) AS INTEGER) AS bucket
+       FROM f_orders""",
+)
+def ntile_over_all_orders(spark, folder):
+    """Every order has a bucket; those without a payment come behind the dearest."""
+    orders = Star(spark, folder).fact_orders("order_id", "payment_value")
+    return with_ntile(orders, 10, F.col("payment_value").asc_nulls_last(), F.col("order_id")).select("order_id", "bucket")
