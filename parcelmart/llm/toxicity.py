@@ -217,7 +217,10 @@ def learnable(doc_id: Column) -> Column:
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> bytes | None:
-    """Fit on ``sample_rows`` documents of either label, drawn by a hash of ``doc_id``; None without labels."""
+    """Fit on ``sample_rows`` documents of either label, drawn by a hash of ``doc_id``; None without labels.
+
+    A drawn id gives one row, the text with the least hash, however many rows bear it.
+    """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(learnable(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     sizes = {r["_toxic"]: r["n"] for r in known.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -230,10 +233,14 @@ def fit_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     # About sample_rows ids of each label, whatever the size of the tables: small enough for every executor.
     chosen = F.broadcast(known.withColumn("_share", share).where(draw < F.col("_share")))
     sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    sample = sample.groupBy("doc_id", "_toxic", "_share").agg(one).select("doc_id", "one.text", "_toxic", "_share")
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([f for f in frames] or [pd.DataFrame({"text": [], "doc_id": [], "_toxic": [], "_share": []})])
         rows = rows.sort_values(["doc_id", "text"])
+        if rows.empty:
+            return
         model = fit(rows["text"].tolist(), rows["_toxic"].astype(int).tolist(), (1 / rows["_share"]).tolist())
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 

@@ -4,6 +4,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from parcelmart.llm.toxicity import chain_marginals, drop_toxic, fit, toxicity, with_toxicity
 
@@ -82,3 +83,15 @@ def test_without_labels_or_rows(spark, tables):
 def test_one_class_and_repeats():
     model = fit(["a b c"] * 5, [0] * 5, [1.0] * 5)
     assert set(model) == {"field", "bias", "chain", "curve"}
+
+
+def test_an_id_in_many_rows_is_fitted_once(spark):
+    from parcelmart.llm.toxicity import fit_model
+
+    data = rows(120)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data], SCHEMA)
+    labels = spark.createDataFrame([(i, 0, y) for i, _, y in data], LABELS)
+    more = spark.range(300).selectExpr("4L AS doc_id", "concat('text ', id) AS text").unionByName(docs.where("doc_id = 4"))
+    least = more.selectExpr("doc_id", "text").orderBy(F.xxhash64("text")).limit(1)
+    once = fit_model(docs.where("doc_id != 4").unionByName(spark.createDataFrame(least.collect(), SCHEMA)), labels)
+    assert once and fit_model(docs.where("doc_id != 4").unionByName(more), labels) == once
