@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from parcelqueries import mapping
 from parcelqueries.operator_queries import FACT_COLUMNS
 from parcelqueries.registry import pick, query
+from parcelqueries.sql_tables import whole
 from parcelmart.operators import checks
 from parcelmart.plans import reporting
 from parcelmart.plans.late_model import run_late_model
@@ -67,7 +68,9 @@ def csv_folder(spark: SparkSession, folder: str) -> str:
     def build(root: str) -> None:
         for table, frame in mapping.sources(spark, folder).items():
             text = as_text(table, frame)
-            text.write.options(header=True, quote='"', escape='"', emptyValue="").csv(f"{root}/{table}")
+            options = text.write.options(header=True, quote='"', escape='"', emptyValue="")
+            # Blanks around a field are part of it.
+            options.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/{table}")
 
     return _once("csv", spark, folder, build)
 
@@ -93,6 +96,46 @@ def csv_items(spark, folder):
     return typed("order_items", from_csv(spark, folder)["order_items"]).drop("shipping_limit_date")
 
 
+_REVIEW = "o_orderdate + to_days(CASE WHEN review_id LIKE '%-1' THEN 40 ELSE 45 END)"
+
+#: Each of the eight files with all its columns.
+WHOLE_FILES = {
+    "customers": """SELECT customer_id, customer_unique_id, zip AS customer_zip_code_prefix, city AS customer_city,
+       state AS customer_state FROM st_customers""",
+    "sellers": """SELECT seller_id, zip AS seller_zip_code_prefix, city AS seller_city, state AS seller_state
+       FROM st_sellers""",
+    "products": f"""SELECT product_id, NULLIF(category, '') AS product_category_name,
+       {whole('name_length')} AS product_name_lenght, {whole('description_length')} AS product_description_lenght,
+       {whole('photos_qty')} AS product_photos_qty, {whole('weight_g')} AS product_weight_g,
+       {whole('length_cm')} AS product_length_cm, {whole('height_cm')} AS product_height_cm,
+       {whole('width_cm')} AS product_width_cm FROM st_products""",
+    "category_translation": """SELECT category AS product_category_name, english AS product_category_name_english
+       FROM st_translation""",
+    "orders": """SELECT order_id, customer_id, order_status, CAST(purchased_at AS VARCHAR) AS order_purchase_timestamp,
+       CAST(approved_at AS VARCHAR) AS order_approved_at, CAST(carrier_at AS VARCHAR) AS order_delivered_carrier_date,
+       CAST(delivered_at AS VARCHAR) AS order_delivered_customer_date,
+       CAST(estimated_at AS VARCHAR) AS order_estimated_delivery_date FROM st_orders""",
+    "order_items": """SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
+            l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) AS INTEGER) AS order_item_id,
+       CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+       CAST(l_shipdate AS VARCHAR) AS shipping_limit_date, CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS price,
+       CAST(CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS DOUBLE)
+       AS freight_value FROM lineitem""",
+    "order_payments": pick(
+        "st_payments", "order_id payment_sequential payment_type payment_installments $payment_value"
+    ),
+    "order_reviews": f"""SELECT review_id, order_id, review_score, title AS review_comment_title,
+       'said "fine", then:' || chr(10) || 'line ' || order_id AS review_comment_message,
+       CAST({_REVIEW} AS VARCHAR) AS review_creation_date, CAST(answered_at AS VARCHAR) AS review_answer_timestamp
+       FROM st_reviews JOIN orders ON CAST(o_orderkey AS VARCHAR) = order_id""",
+}
+for _table, _sql in WHOLE_FILES.items():
+    query(f"s1_csv_whole_{_table}", _sql)(
+        lambda spark, folder, table=_table: typed(table, from_csv(spark, folder)[table])
+    )
+
+
 @query(
     "s4_rows_loaded",
     """SELECT 'customers' AS table_name, count(*) AS rows FROM st_customers
@@ -133,6 +176,21 @@ def items_after_two_loads(spark, folder):
     return _natural(spark, folder, "fact_order_items")
 
 
+@query("j8_lines_lost_between_snapshots", "SELECT order_id, order_item_id FROM f_items WHERE price < 20000")
+def lost_lines(spark, folder):
+    """Lines of the first of two snapshots that a load of the second, without the cheaper lines, took out of the fact."""
+
+    def build(root: str) -> None:
+        first = mapping.sources(spark, folder)
+        run_load(spark, root, first, run_ts=FIRST_RUN)
+        second = first | {"order_items": first["order_items"].where("price >= 20000")}
+        run_load(spark, root, second, full_refresh=True, run_ts=SECOND_RUN)
+
+    left = core_tables(spark, _once("lost-lines", spark, folder, build))["fact_order_items"]
+    known = mapping.sources(spark, folder)["order_items"].select("order_id", "order_item_id")
+    return known.join(left.select("order_id", "order_item_id"), ["order_id", "order_item_id"], "left_anti")
+
+
 @query(
     "m5_orders_after_two_loads",
     f"""{pick('f_orders', FACT_COLUMNS + ' @order_updated_at').replace(' FROM f_orders', '')},

@@ -75,6 +75,19 @@ def prepared_features(spark, folder):
     )
 
 
+_PREPARED = ", ".join(
+    {"order_id": "order_id", "@purchase_date": "CAST(purchase_date AS VARCHAR) AS purchase_date"}.get(name)
+    or (f"COALESCE({name}, 'unknown') AS {name}" if name in features.CATEGORICAL_FEATURES else f"CAST({name} AS DOUBLE) AS {name}")
+    for name in FEATURE_COLUMNS.split()
+)
+
+
+@query("l2_all_prepared_features", f"SELECT {_PREPARED} FROM features")
+def all_prepared_features(spark, folder):
+    """All twenty columns that training sees."""
+    return features.prepared(feature_table(spark, folder))
+
+
 query("l3_cut_dates", pick("cuts", "@valid_from @test_from labelled"))(
     lambda spark, folder: features.cut_dates(feature_table(spark, folder))
 )

@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry  # noqa: F401  (registers the queries)
 from parcelqueries.compare import connect, difference
 from parcelqueries.registry import QUERIES
+from parcelmart.sources.staging import COLUMNS
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
@@ -24,3 +25,21 @@ def test_every_order_has_a_bucket(spark, duck):
     keys = [r.o_orderkey for r in spark.read.parquet(f"{FOLDER}/orders.parquet").select("o_orderkey").collect()]
     assert sorted(int(r.order_id) for r in got) == sorted(keys)
     assert {r.bucket for r in got if int(r.order_id) % 89 == 0} == {10}
+
+
+def test_all_prepared_columns(spark, duck):
+    wrong, rows = difference(spark, duck, FOLDER, "l2_all_prepared_features")
+    assert wrong is None and rows
+    assert len(QUERIES["l2_all_prepared_features"](spark, FOLDER).columns) == 20
+
+
+@pytest.mark.parametrize("table", list(COLUMNS))
+def test_each_file_with_all_columns(spark, duck, table):
+    wrong, rows = difference(spark, duck, FOLDER, f"s1_csv_whole_{table}")
+    assert wrong is None and rows
+    assert QUERIES[f"s1_csv_whole_{table}"](spark, FOLDER).columns == list(COLUMNS[table])
+
+
+def test_lines_that_a_second_snapshot_lost(spark, duck):
+    wrong, rows = difference(spark, duck, FOLDER, "j8_lines_lost_between_snapshots")
+    assert wrong is None and rows
