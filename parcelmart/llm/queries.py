@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import blocks, decontaminate, fingerprints, hosts, jaccard, language, negatives, packing, phrases, toxicity, wavelet
+from parcelmart.llm import blocks, decontaminate, fingerprints, hosts, jaccard, language, negatives, packing, phrases, toxicity, turns, wavelet
 from parcelmart.llm.common import table
 from parcelmart.shared import scratch_path
 
@@ -92,6 +92,12 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, folder, "embeddings").withColumn("label", label))
 
 
+@_query
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return turns.repair(turns.damaged(rows), rows)
+
+
 _WORDS = (
     "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
@@ -214,3 +220,94 @@ FROM scored JOIN near USING (anchor_id)
 WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
 QUALIFY rank <= 5
 """
+
+# A state of the recursion over a conversation's rows is one text, nine digits of cost and then the audit, so that the least
+# text is the cheapest repair and among those the least audit.
+_BYTES = "flatten([[ord(c), -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), '')])"
+_CHECKSUM = (
+    f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || CAST({_BYTES} AS BIGINT[]), "
+    "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"
+)
+
+
+def _edit(state: str, cost: int | str, letter: str) -> str:
+    return f"lpad(CAST(CAST(left({state}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({state}, 10) || '{letter}'"
+
+
+def _unless_gone(condition: str, edited: str) -> str:
+    return f"CASE WHEN NOT gone AND {condition} THEN {edited} END"
+
+
+_CUT = "CAST(cut AS BIGINT)"
+_STAY = f"2 + {_CUT}"
+
+EXPECTED["op13_conversations"] = f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CHECKSUM} % 20 AS draw FROM conversations
+),
+hurt AS (
+  SELECT conv_id, turn, CASE draw WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE draw WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM raw
+),
+placed AS (
+  SELECT conv_id, turn, role, text, rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS shown,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(concat(length(role), ':', role, text))) AS i
+  FROM hurt
+),
+first_seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM placed),
+rows_of AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS kind, shown = '' AS blank, shown <> '' AND seen AS again,
+         shown <> '' AND NOT seen AND right(shown, 1) NOT IN ('.', '!', '?') AS cut, shown = '' OR seen AS gone,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM first_seen
+),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+path AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '000000000' AS s0, CAST(NULL AS VARCHAR) AS ss, CAST(NULL AS VARCHAR) AS su, CAST(NULL AS VARCHAR) AS sa FROM ids
+  UNION ALL
+  SELECT conv_id, i, {_edit("s0", 3, "D")},
+         least({_edit("ss", 3, "D")}, {_unless_gone("kind = 's'", _edit("s0", _CUT, "K"))}),
+         least({_edit("u1", 3, "D")},
+               {", ".join(_unless_gone("kind = 'u'", _edit(x, _CUT, "K")) for x in ("s0", "ss", "a1"))},
+               {", ".join(_unless_gone("true", _edit(x, _STAY, "R")) for x in ("s0", "ss", "a1"))}),
+         least({_edit("a1", 3, "D")}, {_unless_gone("kind = 'a'", _edit("u1", _CUT, "K"))}, {_unless_gone("true", _edit("u1", _STAY, "R"))})
+  FROM (
+    SELECT f.*, s0, ss, u1, least(sa, {_edit("u1", 2, "I")}) AS a1
+    FROM (SELECT *, least(su, {_edit("s0", 2, "I")}, {_edit("ss", 2, "I")}, {_edit("sa", 2, "I")}) AS u1 FROM path) AS p
+    JOIN rows_of AS f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+  )
+),
+ended AS (
+  SELECT conv_id, arg_max(least(s0, a1), i) AS best
+  FROM (SELECT *, least(sa, {_edit("u1", 2, "I")}) AS a1
+        FROM (SELECT *, least(su, {_edit("s0", 2, "I")}, {_edit("ss", 2, "I")}, {_edit("sa", 2, "I")}) AS u1 FROM path))
+  GROUP BY conv_id
+),
+repairs AS (SELECT conv_id, CAST(left(best, 9) AS BIGINT) AS cost, substr(best, 10) AS audit FROM ended),
+play AS (
+  SELECT conv_id, audit, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS i, '' AS state, CAST([] AS VARCHAR[]) AS lines FROM repairs
+  UNION ALL
+  SELECT p.conv_id, audit, k + 1, p.i + CAST(op <> 'I' AS BIGINT),
+         CASE op WHEN 'D' THEN state WHEN 'K' THEN kind ELSE need[1] END,
+         CASE op WHEN 'D' THEN lines WHEN 'I' THEN list_append(lines, concat(need, ':'))
+                 WHEN 'K' THEN list_append(lines, concat(role, ':', text)) ELSE list_append(lines, concat(need, ':', text)) END
+  FROM (SELECT *, substr(audit, k + 1, 1) AS op, CASE state WHEN 'u' THEN 'assistant' ELSE 'user' END AS need FROM play WHERE k < length(audit)) AS p
+  LEFT JOIN rows_of AS f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+),
+played AS (SELECT conv_id, sha256(array_to_string(arg_max(lines, k), chr(10))) AS repaired_sha256 FROM play GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND concat(before, kind) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_of GROUP BY conv_id
+)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, cost, audit, repaired_sha256
+FROM ids
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ids.conv_id
+JOIN repairs ON repairs.conv_id IS NOT DISTINCT FROM ids.conv_id
+JOIN played ON played.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
