@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import blocks, decontaminate, fingerprints, hosts, jaccard, language, negatives, packing, phrases, toxicity, turns, wavelet
+from parcelmart.llm import blocks, decontaminate, fingerprints, hosts, jaccard, language, mixing, negatives, packing, phrases, toxicity, turns, wavelet
 from parcelmart.llm.common import table
 from parcelmart.shared import scratch_path
 
@@ -92,6 +92,11 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, folder, "embeddings").withColumn("label", label))
 
 
+@_query
+def op12_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.language_model_scores(table(spark, folder, "documents"))
+
+
 @_query
 def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations")
