@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,29 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+#: Of what tasks hand to their Python workers at a time.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches are bounded in bytes too, so that long texts make no large ones. The queries call it first."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """SQL settings (double underscores for dots) for the jobs that run inside."""
+    names = {key: key.replace("__", ".") for key in values}
+    before = {key: spark.conf.get(name, None) for key, name in names.items()}
+    for key, name in names.items():
+        spark.conf.set(name, values[key])
+    try:
+        yield
+    finally:
+        for key, name in names.items():
+            spark.conf.unset(name) if before[key] is None else spark.conf.set(name, before[key])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

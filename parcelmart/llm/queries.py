@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmart.llm import blocks, decontaminate, fingerprints, hosts, jaccard, language, mixing, negatives, packing, phrases, toxicity, turns, wavelet
-from parcelmart.llm.common import table
+from parcelmart.llm.common import small_batches, table
 from parcelmart.shared import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,8 +24,13 @@ def vocabulary(name: str) -> str:
 
 
 def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        small_batches(spark)
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = query
+    return query
 
 
 @_query
@@ -78,7 +84,7 @@ def op8_wavelet(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return toxicity.toxicity(docs, docs, table(spark, folder, "labels")).drop("spans")
+    return toxicity.toxicity(docs, docs, table(spark, folder, "labels"), spans=False)
 
 
 @_query

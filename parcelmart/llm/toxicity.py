@@ -30,10 +30,12 @@ SAMPLE_ROWS = 2000
 #: Fitting cuts sequences here; scoring never does.
 FIT_WORDS = 500
 THRESHOLD = 0.3
+#: Characters of the texts scored together.
+BLOCK_CHARS = 2_000_000
 EDGES = ".,;:!?|\"'()[]{}*#$%&-_"
 #: Likelihood ratio and share of toxic documents from which a word or beginning marks toxic words.
 MARK_RATIO, MARK_SHARE, MARK_DOCUMENTS = 20.0, 0.95, 3
-STORED_WORDS = 300_000
+STORED_WORDS = 150_000
 
 
 def word_features(raw: str) -> list[int]:
@@ -42,7 +44,7 @@ def word_features(raw: str) -> list[int]:
     return [zlib.crc32(f.encode()) % BUCKETS for f in ("w" + w, "3" + w[:3], "4" + w[:4], "5" + w[:5], "s" + w[-3:])]
 
 
-def chain_marginals(scores: np.ndarray, lengths: np.ndarray, chain: np.ndarray, cells: int = 2_000_000, pairs=None):
+def chain_marginals(scores: np.ndarray, lengths: np.ndarray, chain: np.ndarray, cells: int = 600_000, pairs=None):
     """P(tag 1) of every word of many sequences laid end to end; ``chain``: start score and 2 x 2 transition scores.
 
     Both recursions run on the ratio of the two tags, for all sequences of a block at once, longest first. ``pairs``
@@ -115,7 +117,7 @@ def _fit_field(docs: list[list[str]], tags: list[np.ndarray], features: dict[str
     kinds = {w: i for i, w in enumerate(dict.fromkeys(w for words in docs for w in words))}
     table = np.array([features[w] for w in kinds], dtype=np.int64).reshape(len(kinds), 5)
     words = np.fromiter((kinds[w] for d in docs for w in d), dtype=np.int64)
-    lengths, truth = np.array([len(d) for d in docs]), np.concatenate(tags) if tags else np.zeros(0)
+    lengths, truth = np.array([len(d) for d in docs], dtype=np.int64), np.concatenate(tags) if tags else np.zeros(0)
     inside = np.ones(len(words), bool)
     inside[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
     at = np.flatnonzero(inside)
@@ -165,11 +167,12 @@ def fit(texts: list[str], toxic: list[int], weight: list[float]) -> dict:
     features = {w: word_features(w) for w in {w for d in docs for w in d}}
     tags = _mark_words(docs, labels, features)
     half = np.array([zlib.crc32(texts[i].encode()) % 2 for i in rows], dtype=int)
-    learn = [i for i in range(len(docs)) if half[i]]
+    learn, held = np.flatnonzero(half == 1), np.flatnonzero(half == 0)
+    if not len(learn) or not len(held):  # a sample of one text or so: both halves are the whole
+        learn = held = np.arange(len(docs))
     cuts = [(i, at) for i in learn for at in range(0, len(docs[i]), FIT_WORDS)]
     parts = [[source[i][at : at + FIT_WORDS] for i, at in cuts] for source in (docs, tags)]
     field, bias, chain = _fit_field(*parts, features)
-    held = np.flatnonzero(half == 0)
     score = {w: float(field[f].sum() + bias) for w, f in features.items()}
     lengths = np.array([len(docs[i]) for i in held], dtype=np.int64)
     flat = np.array([score[w] for i in held for w in docs[i]])
@@ -248,55 +251,71 @@ def fit_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     return bytes(fitted[0]["model"]) if fitted else None
 
 
-def with_toxicity(docs: DataFrame, model: bytes | None, threshold: float = THRESHOLD, name: str = "_tox") -> DataFrame:
-    """Add a struct ``name``: ``score`` and ``spans`` (start and end character, probability) of toxic words."""
+def _blocks(texts: list[str]) -> Iterator[list[str]]:
+    """Whole texts, about ``BLOCK_CHARS`` characters at a time."""
+    block, size = [], 0
+    for text in texts:
+        block.append(text)
+        size += len(text)
+        if size >= BLOCK_CHARS:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
+def _spans(text: str, words: list[str], p: np.ndarray) -> list[dict]:
+    found, place = [], 0
+    if len(words) and p.max() >= 0.5:
+        for word, q in zip(words, p, strict=True):
+            place = text.index(word, place)
+            if q >= 0.5:
+                found.append({"start": place, "end": place + len(word), "p": float(q)})
+            place += len(word)
+    return found
+
+
+def with_toxicity(docs: DataFrame, model: bytes | None, name: str = "_tox", spans: bool = True) -> DataFrame:
+    """Add a struct ``name``: ``score`` and, if asked for, ``spans`` (start and end character, probability) of toxic words."""
     if model is None:
         nothing = F.array().cast("array<struct<start:int,end:int,p:double>>")
-        return docs.withColumn(name, F.struct(F.lit(0.0).alias("score"), nothing.alias("spans")))
+        return docs.withColumn(name, F.struct(F.lit(0.0).alias("score"), *[nothing.alias("spans")] * spans))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("score double, spans array<struct<start:int,end:int,p:double>>")
+    @F.pandas_udf("score double" + ", spans array<struct<start:int,end:int,p:double>>" * spans)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         held = pickle.loads(shared.value)
         scores = _Scores(held)
         for texts in batches:
-            result, spans = [], []
-            for at in range(0, len(texts), 1000):
-                block = [(t or "") for t in texts.iloc[at : at + 1000]]
+            result, found = [np.zeros(0)], []
+            for block in _blocks([t or "" for t in texts]):
                 words = [t.split() for t in block]
                 lengths = np.array([len(w) for w in words], dtype=np.int64)
                 flat = np.fromiter((scores[w] for d in words for w in d), dtype=np.float64, count=int(lengths.sum()))
                 p = chain_marginals(flat, lengths, held["chain"])
-                x = summary(p, lengths)
-                result.append(1 / (1 + np.exp(-np.clip(x @ held["curve"], -30, 30))))
-                ends = np.cumsum(lengths)
-                for text, own, end in zip(block, words, ends, strict=True):
-                    mine, found, place = p[end - len(own) : end], [], 0
-                    if len(own) and mine.max() >= 0.5:
-                        for word, q in zip(own, mine, strict=True):
-                            place = text.index(word, place)
-                            if q >= 0.5:
-                                found.append({"start": place, "end": place + len(word), "p": float(q)})
-                            place += len(word)
-                    spans.append(found)
-            yield pd.DataFrame({"score": np.concatenate(result) if result else [], "spans": spans})
+                result.append(1 / (1 + np.exp(-np.clip(summary(p, lengths) @ held["curve"], -30, 30))))
+                if spans:
+                    ends = np.cumsum(lengths)
+                    found += [_spans(t, w, p[end - len(w) : end]) for t, w, end in zip(block, words, ends, strict=True)]
+            columns = {"score": np.concatenate(result)}
+            yield pd.DataFrame(columns | {"spans": found} if spans else columns)
 
     return docs.withColumn(name, judge(F.col("text")))
 
 
-def toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row ``doc_id, held_out, score, predicted, spans``; the model is fitted on ``labelled`` and ``labels``."""
-    judged = with_toxicity(docs.select("doc_id", "text"), fit_model(labelled, labels), threshold)
+def toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, spans: bool = True) -> DataFrame:
+    """Per row ``doc_id, held_out, score, predicted`` and, if asked for, ``spans``; the model is fitted on ``labelled`` and ``labels``."""
+    judged = with_toxicity(docs.select("doc_id", "text"), fit_model(labelled, labels), spans=spans)
     return judged.select(
         "doc_id",
         F.coalesce(~learnable(F.col("doc_id")), F.lit(False)).alias("held_out"),
         F.col("_tox.score").alias("score"),
         (F.col("_tox.score") >= threshold).cast("int").alias("predicted"),
-        F.col("_tox.spans").alias("spans"),
+        *[F.col("_tox.spans").alias("spans")] * spans,
     )
 
 
 def drop_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents scored below ``threshold``, all their columns unchanged."""
-    judged = with_toxicity(docs, fit_model(labelled, labels), threshold)
+    judged = with_toxicity(docs, fit_model(labelled, labels), spans=False)
     return judged.where(F.col("_tox.score") < threshold).drop("_tox")

@@ -95,3 +95,9 @@ def test_an_id_in_many_rows_is_fitted_once(spark):
     least = more.selectExpr("doc_id", "text").orderBy(F.xxhash64("text")).limit(1)
     once = fit_model(docs.where("doc_id != 4").unionByName(spark.createDataFrame(least.collect(), SCHEMA)), labels)
     assert once and fit_model(docs.where("doc_id != 4").unionByName(more), labels) == once
+
+
+def test_samples_of_one_text():
+    for i in range(60):
+        for label in (0, 1):
+            assert set(fit([f"word{i} and *some* more{i}"], [label], [1.0])) == {"field", "bias", "chain", "curve"}
