@@ -17,6 +17,8 @@ from parcelmart.shared import written
 
 # monotonically_increasing_id puts the partition number above bit 33 and the row position below it.
 _POSITION_BITS = 33
+#: Parts that a range of values is cut into while a quantile is looked for.
+STEPS = 4096
 
 
 def _sliced(frame: DataFrame, order: list[Column], label: str) -> DataFrame:
@@ -82,20 +84,53 @@ def with_ntile(frame: DataFrame, buckets: int, *order: Column, name: str = "buck
 
 
 def quantile(frame: DataFrame, value: str, fraction: float, name: str = "quantile") -> DataFrame:
-    """One row: the exact quantile, interpolated linearly between the two neighbouring values.
+    """One row: the exact quantile, interpolated linearly between the two neighbouring values."""
+    return quantiles(frame, value, {name: fraction})
 
-    Spark's ``percentile`` keeps every distinct value in one task, which a score column does not survive. Equal
-    values are counted first, so the ordering work grows with the distinct values.
+
+def quantiles(frame: DataFrame, value: str, fractions: dict[str, float]) -> DataFrame:
+    """One row with an exact quantile for each name, by selection: the rows are read once, and never sorted.
+
+    Spark's ``percentile`` keeps every distinct value in one task, which a score column does not survive. Equal values are
+    counted; then the range that holds a wanted rank is cut into ``STEPS`` parts of which only counts, least and largest
+    value are fetched, again and again, until a part holds one value. All fractions share the passes.
     """
-    counted = frame.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
-    placed = with_running_totals(counted, [F.col(value)], {"_last": "_rows"})
-    rows = placed.agg(F.max("_last")).first()[0] or 0
-    position = max(rows - 1, 0) * fraction
-    low, high = math.floor(position), math.ceil(position)
-
-    def value_at(rank: int) -> Column:
-        covered = (F.col("_last") > rank) & (F.col("_last") - F.col("_rows") <= rank)
-        return F.max(F.when(covered, F.col(value)))
-
-    neighbours = placed.agg(value_at(low).alias("_low"), value_at(high).alias("_high"))
-    return neighbours.select((F.col("_low") + (F.col("_high") - F.col("_low")) * F.lit(position - low)).alias(name))
+    counted = frame.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    counted = counted.groupBy(F.col(value).cast("double").alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = written(counted, "counted")
+    rows, low, high = counted.agg(F.sum("_rows"), F.min("_value"), F.max("_value")).first()
+    schema = ", ".join(f"{name} double" for name in fractions)
+    if not rows:
+        return frame.sparkSession.createDataFrame([(None,) * len(fractions)], schema)
+    positions = {name: (rows - 1) * fraction for name, fraction in fractions.items()}
+    ranks = {place for p in positions.values() for place in (math.floor(p), math.ceil(p))}
+    found = _at_ranks(counted, ranks, low, high)
+    between = {name: (found[math.floor(p)], found[math.ceil(p)], p - math.floor(p)) for name, p in positions.items()}
+    return frame.sparkSession.createDataFrame([tuple(a + (b - a) * part for a, b, part in between.values())], schema)
+
+
+def _at_ranks(counted: DataFrame, ranks: set[int], low: float, high: float) -> dict[int, float]:
+    """The value at each 0-based rank of ``counted`` (``_value``, ``_rows``), whose values lie from ``low`` to ``high``."""
+    found, open_ = {}, dict.fromkeys(ranks, (low, high, 0))  # a range of values, and the rows below it
+    while open_:
+        found |= {rank: low for rank, (low, high, _) in open_.items() if low == high}
+        open_ = {rank: span for rank, span in open_.items() if rank not in found}
+        spans = sorted(set(open_.values()))
+        if not spans:
+            break
+        of, step, inside = F.lit(None).cast("int"), F.lit(None).cast("double"), F.lit(False)
+        for number, (low, high, _) in enumerate(spans):
+            here = F.col("_value").between(low, high)
+            share = (F.col("_value") / 2 - low / 2) / (high / 2 - low / 2)  # halves do not overflow
+            of, step, inside = F.when(here, number).otherwise(of), F.when(here, share).otherwise(step), inside | here
+        part = F.least(F.floor(step * STEPS), F.lit(STEPS - 1)).alias("part")
+        sums = [F.sum("_rows").alias("rows"), F.min("_value").alias("low"), F.max("_value").alias("high")]
+        parts = counted.where(inside).groupBy(of.alias("span"), part).agg(*sums).orderBy("span", "part").collect()
+        for rank, span in open_.items():
+            below = span[2]
+            for row in (r for r in parts if r["span"] == spans.index(span)):
+                if rank < below + row["rows"]:
+                    open_[rank] = (row["low"], row["high"], below)
+                    break
+                below += row["rows"]
+    return found

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from parcelqueries.registry import pick, query
 from parcelqueries.star import Star
-from parcelmart.operators.ordering import quantile, with_ntile
+from parcelmart.operators.ordering import quantile, quantiles, with_ntile
 from parcelmart.operators.ranking import alert_quality, ranking_quality
 from parcelmart.plans import features, risk_views
 from parcelmart.plans.late_model import ALERT_RATE
@@ -111,13 +111,9 @@ query("l6_alert_threshold", "SELECT round(threshold, 12) AS threshold FROM thres
 )
 def price_quantiles(spark, folder):
     prices = Star(spark, folder).given("lineitem").select("l_extendedprice")
-    one, other = [
-        quantile(prices, "l_extendedprice", fraction, "price").select(
-            F.lit(fraction).alias("fraction"), F.round("price", 6).alias("price")
-        )
-        for fraction in (0.37, 0.9)
-    ]
-    return one.unionByName(other)
+    found = quantiles(prices, "l_extendedprice", {"low": 0.37, "high": 0.9})
+    pairs = [F.struct(F.lit(fraction).alias("fraction"), F.round(name, 6).alias("price")) for fraction, name in ((0.37, "low"), (0.9, "high"))]
+    return found.select(F.inline(F.array(*pairs)))
 
 
 @query(
