@@ -91,17 +91,15 @@ def batch_summary(batch: DataFrame, watermark: DataFrame) -> DataFrame:
 
     The watermark never moves back.
     """
-    newest = batch.agg(F.max("order_updated_at")).scalar()
-
-    def rows(change_type: str):
-        return batch.agg(F.count_if(F.col("change_type") == change_type)).scalar().alias(f"rows_{change_type}")
-
-    return watermark.where(F.col("pipeline_name") == PIPELINE).select(
+    counts = [F.count_if(F.col("change_type") == kind).alias(kind) for kind in ("new", "changed")]
+    found = batch.agg(F.struct(F.max("order_updated_at").alias("newest"), *counts)).scalar()
+    control = watermark.where(F.col("pipeline_name") == PIPELINE).withColumn("_batch", found)
+    return control.select(
         "pipeline_name",
         F.col("last_watermark").alias("watermark_before"),
-        F.greatest("last_watermark", newest).alias("watermark_after"),
-        rows("new"),
-        rows("changed"),
+        F.greatest("last_watermark", "_batch.newest").alias("watermark_after"),
+        F.col("_batch.new").alias("rows_new"),
+        F.col("_batch.changed").alias("rows_changed"),
     )
 
 
