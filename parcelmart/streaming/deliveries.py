@@ -1,8 +1,9 @@
 """Deliveries arrive as folders of the eight CSV files, complete or with new and changed rows only.
 
 Nothing in the warehouse is dropped by a load, so a delivery may hold changes only: an order comes with its own
-customer row, lines, payments and reviews. The stream remembers which deliveries it has seen; a delivery that was
-published right before a crash is offered again and finds an empty batch.
+customer row, lines, payments and reviews. A delivery without orders is loaded too, for its other tables. The stream
+remembers which deliveries it has seen; one that was published right before a crash is offered again and finds an empty
+batch, and one whose other files are not there yet stops the stream with an error and is offered again by the next call.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmart.plans.load import LoadResult, csv_sources, run_load
-from parcelmart.sources.staging import COLUMNS, text_schema
+from parcelmart.sources.staging import COLUMNS
 
 
 def delivery_paths(folder: str) -> dict[str, str]:
@@ -28,11 +29,13 @@ def load_deliveries(
     on_load: Callable[[str, LoadResult], None] | None = None,
 ) -> None:
     """Load each delivery folder under ``landing`` that is new since the last call, in name order within a batch."""
+    # One row for each file, whatever it holds: only its name is asked for, so no content is read.
     arrivals = (
-        spark.readStream.schema(text_schema("orders"))
-        .options(header=True, quote='"', escape='"', maxFilesPerTrigger=1)
-        .csv(f"{landing.rstrip('/')}/*/orders.csv")
-        .select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("folder"))
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("maxFilesPerTrigger", 1)
+        .load(f"{landing.rstrip('/')}/*/orders.csv")
+        .select(F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder"))
     )
 
     def load(rows: DataFrame, _batch_id: int) -> None:
