@@ -1,7 +1,7 @@
 """Seventeen analytic questions over the reports.
 
 The inputs are aggregates (one row per month, category or state), so windows without a partition run over that
-many rows, never over facts. Every order that the question leaves open is settled by the row's own key.
+many rows, never over facts. Answers come in the order of the question; what it leaves open is settled by the row's own key.
 """
 
 from __future__ import annotations
@@ -53,14 +53,14 @@ def in_months(monthly: DataFrame, first: str = FIRST_MONTH, last: str = LAST_MON
 
 
 def revenue_per_year(months: DataFrame) -> DataFrame:
-    return months.groupBy("year").agg(F.sum("revenue").alias("year_revenue"))
+    return months.groupBy("year").agg(F.sum("revenue").alias("year_revenue")).orderBy("year")
 
 
 def share_of_total(months: DataFrame) -> DataFrame:
     total = F.sum("revenue").over(_everything())
     return months.select(
         "year_month", "revenue", total.alias("total_revenue"), percent(F.col("revenue"), total, 1).alias("pct_of_total")
-    )
+    ).orderBy("year_month")
 
 
 def share_of_year(months: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def share_of_year(months: DataFrame) -> DataFrame:
     return months.select(
         "year", "year_month", "revenue", total.alias("year_revenue"),
         percent(F.col("revenue"), total, 1).alias("pct_of_year"),
-    )
+    ).orderBy("year_month")
 
 
 def running_totals(months: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def running_totals(months: DataFrame) -> DataFrame:
         "revenue",
         F.sum("revenue").over(_by_month()).alias("running_total"),
         F.sum("revenue").over(_in_year_by_month()).alias("running_total_in_year"),
-    )
+    ).orderBy("year_month")
 
 
 def best_categories(categories: DataFrame, limit: int = 8) -> DataFrame:
@@ -87,7 +87,7 @@ def best_categories(categories: DataFrame, limit: int = 8) -> DataFrame:
 
 def best_months_per_year(months: DataFrame, limit: int = 2) -> DataFrame:
     numbered = months.select("year", "year_month", "revenue", F.row_number().over(_best_of_year()).alias("rn"))
-    return numbered.where(F.col("rn") <= limit)
+    return numbered.where(F.col("rn") <= limit).orderBy("year", "rn")
 
 
 def month_over_month(months: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def month_over_month(months: DataFrame) -> DataFrame:
         change.alias("change"),
         percent(change, previous, 1).alias("change_pct"),
         F.lead("revenue").over(_by_month()).alias("next_month"),
-    )
+    ).orderBy("year_month")
 
 
 def _average_orders(frame_of_rows) -> Column:
@@ -113,7 +113,7 @@ def moving_average(months: DataFrame) -> DataFrame:
         "orders",
         F.round(_average_orders(_three_months()), 0).alias("moving_avg_3m"),
         F.count(F.lit(1)).over(_three_months()).alias("months_in_average"),
-    )
+    ).orderBy("year_month")
 
 
 def best_and_worst_month(months: DataFrame) -> DataFrame:
@@ -128,11 +128,11 @@ def best_and_worst_month(months: DataFrame) -> DataFrame:
         (F.col("revenue") - F.first_value("revenue").over(_best_of_year())).alias("gap_to_best"),
         F.last_value("revenue").over(by_revenue).alias("last_value_trap"),
         F.last_value("revenue").over(whole_year).alias("worst_month_revenue"),
-    )
+    ).orderBy("year", F.col("revenue").desc_nulls_first(), "year_month")
 
 
 def category_quartiles(categories: DataFrame) -> DataFrame:
-    return categories.select("category", "revenue", F.ntile(4).over(_by_revenue_then_name()).alias("quartile"))
+    return categories.select("category", "revenue", F.ntile(4).over(_by_revenue_then_name()).alias("quartile")).orderBy(F.col("revenue").desc_nulls_first(), "category")
 
 
 def revenue_per_quartile(categories: DataFrame) -> DataFrame:
@@ -140,6 +140,7 @@ def revenue_per_quartile(categories: DataFrame) -> DataFrame:
         category_quartiles(categories)
         .groupBy("quartile")
         .agg(F.count(F.lit(1)).alias("categories"), F.sum("revenue").alias("revenue"))
+        .orderBy("quartile")
     )
 
 
@@ -153,7 +154,7 @@ def versus_average_month(months: DataFrame) -> DataFrame:
         F.round(average, 0).alias("avg_orders_in_year"),
         (F.col("orders") - F.round(average, 0)).alias("difference"),
         F.when(F.col("orders") > average, "above average").otherwise("below average").alias("vs_average"),
-    )
+    ).orderBy("year_month")
 
 
 def biggest_categories_share(categories: DataFrame, limit: int = 5) -> DataFrame:
@@ -164,7 +165,7 @@ def biggest_categories_share(categories: DataFrame, limit: int = 5) -> DataFrame
 
 
 def orders_year_to_date(months: DataFrame) -> DataFrame:
-    return months.select("year_month", "orders", F.sum("orders").over(_in_year_by_month()).alias("orders_ytd"))
+    return months.select("year_month", "orders", F.sum("orders").over(_in_year_by_month()).alias("orders_ytd")).orderBy("year_month")
 
 
 def behind_previous_category(categories: DataFrame, limit: int = 5) -> DataFrame:
@@ -179,7 +180,7 @@ def top_states(states: DataFrame, ranks: int = 3) -> DataFrame:
     """Equal states share a rank, so more than ``ranks`` rows may come back."""
     by_orders = Window.orderBy(F.col("delivered_orders").desc_nulls_first())
     ranked = states.select("state", "delivered_orders", F.rank().over(by_orders).alias("state_rank"))
-    return ranked.where(F.col("state_rank") <= ranks)
+    return ranked.where(F.col("state_rank") <= ranks).orderBy("state_rank", "state")
 
 
 def months_above_moving_average(months: DataFrame) -> DataFrame:
@@ -187,4 +188,4 @@ def months_above_moving_average(months: DataFrame) -> DataFrame:
     smoothed = months.select("year_month", "orders", _average_orders(_three_months()).alias("_average"))
     return smoothed.where(F.col("orders") > F.col("_average")).select(
         "year_month", "orders", F.round("_average", 0).alias("moving_avg_3m")
-    )
+    ).orderBy("year_month")

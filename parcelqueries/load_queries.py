@@ -315,7 +315,8 @@ def reports(core: dict[str, DataFrame]) -> dict:
 
 
 def _published_report(spark, folder, name: str) -> DataFrame:
-    return reports(core_tables(spark, warehouse(spark, folder)))[name]()
+    report = reports(core_tables(spark, warehouse(spark, folder)))[name]()
+    return reporting.in_report_order(report, list(reporting.REPORT_ORDER)[int(name[1:]) - 1])
 
 
 # ---- the trained model: rows only, its scores have no SQL counterpart
