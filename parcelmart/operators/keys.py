@@ -14,6 +14,15 @@ def number_new_rows(fresh: DataFrame, natural_key: str, surrogate_key: str, high
     return numbered.select((F.col("_number") + F.lit(highest)).alias(surrogate_key), *fresh.columns)
 
 
+def dimension_changes(existing: DataFrame, source: DataFrame, natural_key: str) -> DataFrame:
+    """Rows of ``source`` that ``existing`` does not hold as they are, and whether their key is ``known``."""
+    attributes = [column for column in source.columns if column != natural_key]
+    held = existing.select(F.col(natural_key).alias("_key"), F.struct(*attributes).alias("_held"))
+    joined = source.join(held, source[natural_key] == F.col("_key"), "left")
+    given = F.struct(*[source[a] for a in attributes])
+    return joined.where(~F.col("_held").eqNullSafe(given)).select(*[source[c] for c in source.columns], F.col("_key").isNotNull().alias("known"))
+
+
 def upsert_dimension(
     existing: DataFrame | None, source: DataFrame, natural_key: str, surrogate_key: str
 ) -> DataFrame:

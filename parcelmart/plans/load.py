@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 
 from parcelmart.functions.dates import date_key, month_of_key
 from parcelmart.operators import checks
-from parcelmart.operators.keys import upsert_dimension
+from parcelmart.operators.keys import dimension_changes, number_new_rows, upsert_dimension
 from parcelmart.plans import dimensions, facts
 from parcelmart.plans.batch import batch_summary, moved_watermark, seed_watermark, select_batch
-from parcelmart.shared import side_by_side
+from parcelmart.shared import side_by_side, written
 from parcelmart.sources.published import PublishedTables, Version
 from parcelmart.sources.staging import COLUMNS, read_csv, require_files, typed
 
 MONTH = "month_part"
+#: Folders that a dimension may consist of before it is written as a whole again.
+FOLDERS = 16
 
 # Columns that must hold a value, and the allowed change types.
 REQUIRED = {
@@ -61,17 +63,34 @@ def stage(tables: PublishedTables, version: Version, sources: dict[str, DataFram
 
 
 def update_dimensions(tables: PublishedTables, version: Version, staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Dimensions of the new version. One that did not change keeps its folders, new keys are appended to it as a folder
+    of their own, and only changed attributes, or more than ``FOLDERS`` folders, have it written as a whole.
+    """
+
     def days() -> DataFrame:
         existing = tables.read(version, "core/dim_date")
-        return tables.write(version, "core/dim_date", dimensions.dim_date(staged["orders"], existing))
+        calendar = dimensions.dim_date(staged["orders"], existing)
+        if existing is not None and existing.count() == calendar.count():  # it only ever grows at its ends
+            return existing
+        return tables.write(version, "core/dim_date", calendar)
 
     def keyed(name: str, source: DataFrame, natural_key: str) -> DataFrame:
-        existing = tables.read(version, f"core/{name}")
-        surrogate_key = name.removeprefix("dim_") + "_key"
-        upserted = upsert_dimension(existing, source, natural_key, surrogate_key)
-        written = tables.write(version, f"core/{name}", upserted)
-        checks.require_keyed(written, [natural_key], REQUIRED[name], name)
-        return written
+        table, surrogate_key = f"core/{name}", name.removeprefix("dim_") + "_key"
+        existing = tables.read(version, table)
+        if existing is not None:
+            changes = written(dimension_changes(existing, source, natural_key), "changes")
+            counts = changes.agg(F.count_if(~F.col("known")).alias("new"), F.count_if("known").alias("changed")).first()
+            if not counts.new and not counts.changed:
+                return existing
+            if not counts.changed and len(version.folders[table]) < FOLDERS:
+                highest = existing.agg(F.max(surrogate_key)).first()[0] or 0
+                fresh = number_new_rows(changes.drop("known"), natural_key, surrogate_key, highest)
+                fresh = written(fresh.select(*existing.columns), "fresh")
+                checks.require_keyed(fresh, [natural_key], REQUIRED[name], name)  # none of the new keys is known
+                return tables.append(version, table, fresh)
+        whole = tables.write(version, table, upsert_dimension(existing, source, natural_key, surrogate_key))
+        checks.require_keyed(whole, [natural_key], REQUIRED[name], name)
+        return whole
 
     customer = dimensions.dim_customer(staged["customers"], staged["orders"])
     product = dimensions.dim_product(staged["products"], staged["category_translation"])
@@ -180,6 +199,9 @@ def _update_facts(
     )
     fresh_orders = _with_load_times(fresh_orders, known_orders, months, run_ts)
     orders = _replace_batch(tables, version, "fact_orders", fresh_orders, batch, months)
+    loaded = orders.where(F.col(MONTH).isin(*months)).join(batch.select("order_id"), "order_id", "left_semi")
+    loaded_orders = checks.require_keyed(loaded, ["order_id"], REQUIRED["fact_orders"], "fact_orders")
+    checks.require_same_count(batch_size, loaded_orders, "fact_orders: orders of the batch after the write")
 
     _check_facts(orders, items, dims["dim_date"], months)
 
