@@ -1,7 +1,8 @@
 """Token ids of whole texts, by the tokenizers library, with a bounded store of the ids of words.
 
 Both vocabularies split a text before any merge, never inside a run without white space. So the ids of a text are the
-ids of its words one after the other, and a word that was met before need not be encoded again.
+ids of its words one after the other, and a word that was met before need not be encoded again. Texts that hold the string
+of a special token are encoded as a whole.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: In each of two generations.
-STORED_WORDS = 450_000
+#: Bytes of words and ids in each of two generations, with what Python needs for an entry; words past ``LONG`` are not stored.
+STORED_BYTES, ENTRY, LONG = 48 << 20, 150, 100
 LATIN_END = "\u0250"
 DOTTED_I = "\u0130"  # its lower case is a letter and a mark
 
@@ -39,14 +40,16 @@ class Words(dict):
 
     def __init__(self, encode: Callable[[str], list[int]], lead: str, latin: Callable[[str], list[int]]):
         super().__init__()
-        self.encode, self.lead, self.latin, self.older = encode, lead, latin, {}
+        self.encode, self.lead, self.latin, self.older, self.size = encode, lead, latin, {}, 0
         self.ends = {mark: id_bytes(encode(mark)) for mark in ".,"}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= STORED_WORDS:
+        if self.size >= STORED_BYTES:
             self.older = dict(self)
             self.clear()
+            self.size = 0
         if (known := self.older.get(word)) is not None:
+            self.size += ENTRY  # the strings are shared
             self[word] = known
             return known
         if word[-1:] in self.ends and word[-2:-1].isalpha() and word[-2] < LATIN_END and word[-2] != DOTTED_I:
@@ -55,7 +58,9 @@ class Words(dict):
             ids = id_bytes(self.latin(word))
         else:
             ids = id_bytes(self.encode(word if word[:1] == "\n" else self.lead + word))
-        self[word] = ids
+        if len(word) <= LONG:
+            self.size += ENTRY + len(word) + len(ids)
+            self[word] = ids
         return ids
 
 
@@ -66,8 +71,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         merges = tokenizer.model
+        self.special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
         self.blank_matters = blank_matters
         lead = _BYTE_CHARACTERS[" "] if blank_matters else ""
@@ -81,6 +86,8 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(mark in text for mark in self.special):  # it has an id of its own, also inside a word: encode the text as a whole
+            return id_bytes(self.encode(text))
         if not self.blank_matters:
             return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
         pieces = text.replace("\n", " \n").split(" ")

@@ -9,7 +9,7 @@ Documents are range-partitioned by ``doc_id`` and sorted, so that shards follow
 rows of a Parquet table (``part``, ``shard``, ``local_start`` and the file's bytes), written by Spark's writer: a lost
 executor's shards are written anew, and no shard is larger than ``SHARD_IDS`` ids plus one document.
 
-Defined results: a null or empty text is the end id alone; rows that share a ``doc_id`` follow each other by text;
+Defined results: a null or empty text is the end id alone; rows that share a ``doc_id`` follow each other, by text within a partition;
 null ids come first; an empty table gives no shards. Only ``doc_id`` and ``text`` are read.
 """
 
@@ -162,7 +162,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, shard_ids: int = S
     """Encode all documents in ``doc_id`` order and write the shards under ``path``."""
     end = np.array([END_ID], dtype="<u4").tobytes()
     ordered = docs.select(F.col("doc_id").cast("long"), "text")
-    ordered = ordered.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Ranges are drawn from ids and hashes: no text goes to the driver for them.
+    ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part = encoder(vocabulary, blank_matters=True), TaskContext.get().partitionId()

@@ -37,7 +37,7 @@ def test_many_blocks():
 
 
 ROWS = [(5, "five words in a row"), (1, "one\n two"), (9, None), (3, ""), (7, "long " * 60_000), (2, "a  b"), (3, "again"),
-        (None, "no id"), *[(i, f"text {i} " * (i % 9)) for i in range(20, 300)]]
+        (None, "no id"), (11, "a <|endoftext|> b<|endoftext|>"), *[(i, f"text {i} " * (i % 9)) for i in range(20, 300)]]
 
 
 @pytest.mark.parametrize("shard_ids", [100, 1 << 18])
