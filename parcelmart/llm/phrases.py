@@ -39,7 +39,7 @@ LENGTH = 35
 INNER = 8
 SHARD_ROWS = 2000
 SPREAD_BITS = 20
-STORED_WORDS = 300_000
+STORED_WORDS = 100_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
