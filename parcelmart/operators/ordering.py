@@ -121,7 +121,8 @@ def _at_ranks(counted: DataFrame, ranks: set[int], low: float, high: float) -> d
         of, step, inside = F.lit(None).cast("int"), F.lit(None).cast("double"), F.lit(False)
         for number, (low, high, _) in enumerate(spans):
             here = F.col("_value").between(low, high)
-            share = (F.col("_value") / 2 - low / 2) / (high / 2 - low / 2)  # halves do not overflow
+            half = 2.0 if math.isinf(high - low) else 1.0  # halves do not overflow
+            share = (F.col("_value") / half - low / half) / (high / half - low / half)
             of, step, inside = F.when(here, number).otherwise(of), F.when(here, share).otherwise(step), inside | here
         part = F.least(F.floor(step * STEPS), F.lit(STEPS - 1)).alias("part")
         sums = [F.sum("_rows").alias("rows"), F.min("_value").alias("low"), F.max("_value").alias("high")]

@@ -11,7 +11,7 @@ from typing import TypeVar
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmart.sources.files import delete_on_exit
+from parcelmart.sources.files import delete_folder, delete_on_exit
 
 
 Result = TypeVar("Result")
@@ -65,7 +65,15 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = scratch_path(spark, label)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    result = spark.read.schema(frame.schema).parquet(path)
+    result._scratch = path
+    return result
+
+
+def release(frame: DataFrame) -> None:
+    """Delete the files of a table that ``written`` returned, once nothing that is still to run reads it."""
+    if path := getattr(frame, "_scratch", None):
+        delete_folder(frame.sparkSession, path)
 
 
 def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], Result]]) -> list[Result]:

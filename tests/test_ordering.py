@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmart.operators.ordering import quantile, with_ntile, with_row_number, with_running_totals
+from parcelmart.operators.ordering import quantile, quantiles, with_ntile, with_row_number, with_running_totals
 from parcelmart.operators.ranking import alert_quality, ranking_quality
 
 
@@ -97,3 +97,17 @@ def test_alert_quality(spark):
     }
     nothing = alert_quality(frame, "score", "late", 2.0).first()
     assert (nothing.flagged_precision, nothing.flagged_recall, nothing.lift) == (0.0, 0.0, 0.0)
+
+
+def test_many_quantiles_share_the_passes(spark):
+    draw = random.Random(8)
+    values = [draw.choice([-1e300, 1e300, 0.0, 5e-324, draw.gauss(0, 1), draw.gauss(1e9, 1e-3), 7.5]) for _ in range(3000)]
+    frame = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double").repartition(4)
+    fractions = {f"q{i}": i / 20 for i in range(21)}
+    got = quantiles(frame, "v", fractions).first().asDict()
+    ordered = sorted(values)
+    for name, fraction in fractions.items():
+        place = (len(ordered) - 1) * fraction
+        low, high = ordered[int(place)], ordered[min(int(place) + 1, len(ordered) - 1)] if place % 1 else ordered[int(place)]
+        assert got[name] == low + (high - low) * (place - int(place))
+    assert quantiles(frame.where("v IS NULL"), "v", {"q": 0.5}).first().q is None
