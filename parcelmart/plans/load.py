@@ -35,6 +35,8 @@ REQUIRED = {
     "fact_order_items": ["customer_key", "product_key", "seller_key", "purchase_date_key", "price", "freight_value"],
 }
 CHANGE_TYPES = ["new", "changed"]
+# Columns that fact_orders got later: a warehouse that was loaded before them has them filled, with the run's time or nothing.
+LATER_COLUMNS = [("order_updated_at", "timestamp_ntz", None), ("etl_inserted_at", "timestamp", "run"), ("etl_updated_at", "timestamp", "run")]
 
 
 @dataclass
@@ -223,6 +225,10 @@ def run_load(
     run_ts = run_ts or datetime.now(UTC)
     tables = PublishedTables(spark, root)
     version = tables.draft()
+    if "core/fact_orders" in version.folders:
+        for name, kind, default in LATER_COLUMNS:
+            literal = f"TIMESTAMP '{run_ts:%Y-%m-%d %H:%M:%S.%f%z}'" if default else "NULL"
+            tables.add_column(version, "core/fact_orders", name, kind, literal)
     rows_loaded = stage(tables, version, sources)
     staged = {table: typed(table, tables.read(version, f"staging/{table}")) for table in COLUMNS}
 

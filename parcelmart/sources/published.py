@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelmart.sources.files import child_names, delete_folder, exists, publish_text, read_text
@@ -29,6 +31,8 @@ class Version:
     schemas: dict[str, dict] = field(default_factory=dict)
     #: Place in the line of published versions; a draft takes the place behind the version it started from.
     number: int = 0
+    #: Columns that tables got after their first folders: name, type, default (SQL) and the run since which folders hold it.
+    added: dict[str, list[dict]] = field(default_factory=dict)
 
 
 class PublishedTables:
@@ -64,9 +68,31 @@ class PublishedTables:
         schema = T.StructType.fromJson(version.schemas[table])
         if not version.folders[table]:
             return self.spark.createDataFrame([], schema)
-        paths = [f"{self.root}/{folder}" for folder in version.folders[table]]
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
-        return reader.parquet(*paths).select(*schema.fieldNames())
+        groups: dict[tuple[str, ...], list[str]] = {}
+        added = {column["name"]: column for column in version.added.get(table, [])}
+        for folder in version.folders[table]:
+            run = int(folder.removeprefix(f"{table}/{RUN_FOLDER}=").split("/")[0])
+            missing = tuple(name for name, column in added.items() if run < column["since"])
+            groups.setdefault(missing, []).append(f"{self.root}/{folder}")
+        parts = []
+        for missing, paths in groups.items():
+            held = T.StructType([f for f in schema.fields if f.name not in missing])
+            part = self.spark.read.schema(held).option("basePath", f"{self.root}/{table}").parquet(*paths)
+            defaults = {name: F.expr(added[name]["default"]).cast(added[name]["type"]) for name in missing}
+            parts.append(part.withColumns(defaults).select(*schema.fieldNames()) if defaults else part.select(*schema.fieldNames()))
+        return reduce(DataFrame.unionByName, parts)
+
+    def add_column(self, version: Version, table: str, name: str, kind: str, default: str = "NULL") -> None:
+        """Give a table a column that its folders do not hold yet; they are read with the default, a SQL literal.
+
+        Nothing is written: folders of this run and later ones hold the column, the others stay as they are.
+        """
+        schema = T.StructType.fromJson(version.schemas[table])
+        if name in schema.fieldNames():
+            return
+        version.schemas[table] = schema.add(name, T.DataType.fromDDL(kind)).jsonValue()
+        column = {"name": name, "type": kind, "default": default, "since": version.run_id}
+        version.added[table] = [*version.added.get(table, []), column]
 
     def write(self, version: Version, table: str, frame: DataFrame) -> DataFrame:
         """Write a whole table as part of ``version`` and read it back."""
@@ -110,6 +136,7 @@ class PublishedTables:
             run_id=self.next_run_id(),
             folders={table: list(folders) for table, folders in latest.folders.items()},
             schemas=dict(latest.schemas),
+            added=dict(latest.added),
             number=latest.number + 1,
         )
 

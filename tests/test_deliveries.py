@@ -58,3 +58,19 @@ def test_changes_only_lead_to_the_same_facts_as_a_full_snapshot(spark, tmp_path)
         return sorted(map(tuple, frame.collect()), key=lambda r: r[0])
 
     assert contents(tmp_path / "root") == contents(tmp_path / "whole")
+
+
+def test_a_delivery_without_orders_is_loaded(spark, tmp_path):
+    landing, loads = tmp_path / "landing", []
+    deliver(
+        landing / "day-1", 1_600_000_000, orders=[order("a", "2018-01-05 08:00:00")], order_items=[line("a", 1)],
+        customers=[customer("a", "person-a")], products=rows.PRODUCTS, sellers=rows.SELLERS, category_translation=rows.TRANSLATION,
+    )
+    deliver(landing / "day-2", 1_600_100_000, sellers=[{**rows.SELLERS[0], "seller_city": "elsewhere"}])
+    load_deliveries(
+        spark, str(landing), str(tmp_path / "root"), str(tmp_path / "checkpoint"),
+        lambda folder, result: loads.append((folder.rsplit("/", 1)[1], result.rows_new, result.rows_changed)),
+    )
+    assert loads == [("day-1", 1, 0), ("day-2", 0, 0)]
+    cities = {r.seller_id: r.city for r in core_tables(spark, str(tmp_path / "root"))["dim_seller"].collect()}
+    assert cities[rows.SELLERS[0]["seller_id"]].lower() == "elsewhere"

@@ -145,3 +145,17 @@ def test_features_take_the_dearest_line_and_drop_orders_without_lines(spark):
     assert (one.is_late, one.n_items, one.n_sellers, one.n_products, one.total_weight_g, one.total_volume_cm3) == (1, 3, 2, 3, 5.0, 100.0)
     assert (one.main_category, one.seller_state, one.same_state, one.estimated_days) == ("pecas", "SP", 1, 22)
     assert (still_open.is_late, still_open.freight_ratio, still_open.payment_type) == (None, None, None)
+
+
+def test_item_features_agree_with_their_parts_and_double_no_line(spark):
+    from parcelmart.plans.features import item_statistics, line_features, main_item
+
+    lines = [("a", i, i % 3 + 1, i % 2 + 1, 5 + i % 4) for i in range(9)] + [("b", 1, 1, 2, 7)]
+    items = spark.createDataFrame(lines, "order_id string, order_item_id int, product_key long, seller_key long, price int")
+    products = spark.createDataFrame([(k, k, 2, 3, k, f"c{k}") for k in (1, 2, 3)],
+                                     "product_key long, weight_g int, length_cm int, height_cm int, width_cm int, category_name_en string")
+    sellers = spark.createDataFrame([(1, "SP"), (2, "RJ")], "seller_key long, state string")
+    whole = line_features(items, products, sellers)
+    parts = item_statistics(items, products).join(main_item(items, products, sellers), "order_id")
+    assert sorted(map(tuple, whole.select(*parts.columns).collect())) == sorted(map(tuple, parts.collect()))
+    assert "Expand" not in whole._jdf.queryExecution().executedPlan().toString()
