@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelmart.llm.common import tidy
 from parcelmart.shared import written
 
 LENGTH = 35
@@ -113,7 +114,7 @@ def anchors(docs: DataFrame, length: int, inner: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["key", "anchor", "places"])
 
     source = docs.select(text_key().alias("key"), F.col("text").cast("binary").alias("t"))
-    return source.mapInArrow(find, "key binary, anchor long, places int")
+    return source.mapInArrow(tidy(find), "key binary, anchor long, places int")
 
 
 SEGMENT = "key binary, first int, dest long, alike boolean, words binary, hashes binary"
@@ -148,7 +149,7 @@ def _segments(texts: DataFrame, length: int, inner: int, shards: int, shard_rows
                                 column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
 
-    return texts.select("key", "t", "copies", "marks").mapInArrow(cut, SEGMENT)
+    return texts.select("key", "t", "copies", "marks").mapInArrow(tidy(cut), SEGMENT)
 
 
 def _windows(segments: DataFrame) -> DataFrame:
@@ -164,7 +165,7 @@ def _windows(segments: DataFrame) -> DataFrame:
             dest = np.repeat(np.repeat(batch.column(0).to_numpy(), sizes), each_)
             yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(dest)], ["hash", "dest"])
 
-    return segments.select("dest", "alike", "hashes").mapInArrow(each, "hash long, dest long")
+    return segments.select("dest", "alike", "hashes").mapInArrow(tidy(each), "hash long, dest long")
 
 
 class _Codes(dict):

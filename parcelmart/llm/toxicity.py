@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelmart.llm.common import give_back
+
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 2000
 #: Fitting cuts sequences here; scoring never does.
@@ -246,6 +248,8 @@ def fit_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
             return
         model = fit(rows["text"].tolist(), rows["_toxic"].astype(int).tolist(), (1 / rows["_share"]).tolist())
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
+        del model, rows
+        give_back()
 
     fitted = sample.repartition(1).mapInPandas(learn, "model binary").collect()
     return bytes(fitted[0]["model"]) if fitted else None
@@ -299,6 +303,7 @@ def with_toxicity(docs: DataFrame, model: bytes | None, name: str = "_tox", span
                     found += [_spans(t, w, p[end - len(w) : end]) for t, w, end in zip(block, words, ends, strict=True)]
             columns = {"score": np.concatenate(result)}
             yield pd.DataFrame(columns | {"spans": found} if spans else columns)
+        give_back()
 
     return docs.withColumn(name, judge(F.col("text")))
 
