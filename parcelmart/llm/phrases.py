@@ -6,14 +6,14 @@ A passage recurs if a window of ``length`` consecutive words starts at two place
    One word in fourteen is an anchor, so counting anchors shuffles a fraction of the words. Anchors met once end here.
 2. Segments. The words around an anchor met twice or more, just enough to hold the windows that name it. Equal texts
    are one text from here on, with a mark that all its windows recur.
-3. Confirmation. Windows of segments are counted by hash, combined before the shuffle; those met twice recur.
-4. Location. Segments are dealt to shards by anchor. Each shard compiles the recurring windows it holds into one
-   Aho-Corasick automaton over word codes and streams all its segments through it; the automaton sees words, not
-   hashes. A shard holds all places of its windows, so a window that it holds once (a collision of hashes) is left
-   out again; only for anchors split over shards the 64-bit count alone decides.
+3. Confirmation. Segments are dealt to shards by anchor, so a shard holds all places of its windows and counts them
+   itself, first by hash, then word by word. Only for anchors split over tasks windows are counted by a shuffle before,
+   and that 64-bit count alone decides.
+4. Location. Each shard compiles the recurring windows it holds into one Aho-Corasick automaton over word codes and
+   streams all its segments through it; the automaton sees words, not hashes.
 
-An anchor that a third of all documents share is spread over many tasks by document; each gets the same confirmed
-windows. Groups hold about ``shard_rows`` segments, so memory does not grow with the table.
+An anchor that a third of all documents share is spread over many tasks by document; each gets the confirmed windows
+that it holds. Groups hold about ``shard_rows`` segments, so memory does not grow with the table.
 
 Defined results: null and empty texts have no words; documents shorter than a window lose nothing; repeated rows are
 each other's copies and lose all words of their windows; null ids count like others; an empty table gives no rows.
@@ -40,25 +40,12 @@ LENGTH = 35
 INNER = 8
 SHARD_ROWS = 2000
 SPREAD_BITS = 20
-STORED_WORDS = 100_000
+PLACE = np.uint64(0xFFFFFFFF)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
-class _Hashes(dict):
-    """64-bit hash of a word; cleared when it holds too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= STORED_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_HASHES = _Hashes()
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def run_hashes(run: np.ndarray, size: int) -> np.ndarray:
@@ -85,8 +72,12 @@ def _anchors(words: np.ndarray, length: int, inner: int) -> tuple[np.ndarray, np
     span = length - inner + 1
     if len(hashes) < span:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(hashes, span)
-    places = views.argmin(axis=1) + np.arange(len(views))
+    # The place stands in for the lower half of a hash, so that one minimum, taken by doubling, brings both.
+    least, width = (hashes & ~PLACE) | np.arange(len(hashes), dtype=np.uint64), 1
+    while 2 * width <= span:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    least = np.minimum(least[: len(hashes) - span + 1], least[span - width :])
+    places = (least & PLACE).astype(np.int64)
     return hashes[places], places
 
 
@@ -153,19 +144,18 @@ def _segments(texts: DataFrame, length: int, inner: int, shards: int, shard_rows
 
 
 def _windows(segments: DataFrame) -> DataFrame:
-    """One row per window of a segment, two if other documents have the text: its hash and destination."""
+    """One row per window of a segment, two if other documents have the text: its hash and the task that holds it."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [h.as_py() for h in batch.column(2)]
-            times = np.where(batch.column(1).to_numpy(zero_copy_only=False), 2, 1)
+            found = [h.as_py() for h in batch.column(3)]
+            times = np.where(batch.column(2).to_numpy(zero_copy_only=False), 2, 1)
             sizes = np.array([len(h) // 8 for h in found], dtype=np.int64)
             each_ = np.repeat(times, sizes)
-            flat = np.repeat(np.frombuffer(b"".join(found), np.int64), each_)
-            dest = np.repeat(np.repeat(batch.column(0).to_numpy(), sizes), each_)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(dest)], ["hash", "dest"])
+            columns = [np.frombuffer(b"".join(found), np.int64), *(np.repeat(batch.column(k).to_numpy(), sizes) for k in (0, 1))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(c, each_)) for c in columns], ["hash", "_shard", "_salt"])
 
-    return segments.select("dest", "alike", "hashes").mapInArrow(tidy(each), "hash long, dest long")
+    return segments.select("_shard", "_salt", "alike", "hashes").mapInArrow(tidy(each), "hash long, _shard long, _salt long")
 
 
 class _Codes(dict):
@@ -180,15 +170,21 @@ class _Codes(dict):
 def _locate(length: int):
     def run(key: tuple, segments: pd.DataFrame, recurring: pd.DataFrame) -> pd.DataFrame:
         """One shard: compile the recurring windows, stream the segments, give the runs of windows found."""
-        wanted, codes, places, texts = set(recurring["hash"]), _Codes(), Counter(), []
-        alone = (segments["dest"] & ((1 << SPREAD_BITS) - 1)) <= 1
-        for raw, data, alike, whole in zip(segments["words"], segments["hashes"], segments["alike"], alone, strict=True):
+        codes, places, texts = _Codes(), Counter(), []
+        alone = (segments["dest"].to_numpy(np.int64) & ((1 << SPREAD_BITS) - 1)) <= 1
+        weights = np.where(alone & ~segments["alike"].to_numpy(bool), 1, 2)
+        sizes = segments["hashes"].str.len().to_numpy(np.int64) // 8
+        hashes = np.frombuffer(b"".join(segments["hashes"]), np.int64)
+        # All places of a window lie in this task, unless its anchor is spread: those were counted before.
+        values, codes_of = np.unique(hashes, return_inverse=True)
+        times = np.bincount(codes_of, np.repeat(np.where(alone, weights, 0), sizes), len(values))
+        hits = ((times > 1) | np.isin(values, recurring["hash"].to_numpy(np.int64)))[codes_of]
+        ends = np.cumsum(sizes)
+        for raw, weight, low, high in zip(segments["words"], weights.tolist(), ends - sizes, ends, strict=True):
             text = "".join(map(codes.__getitem__, raw.split()))
             texts.append(text)
-            weight = 1 if whole and not alike else 2
-            for i, h in enumerate(np.frombuffer(data, np.int64).tolist()):
-                if h in wanted:
-                    places[text[i : i + length]] += weight
+            for i in np.flatnonzero(hits[low:high]).tolist():
+                places[text[i : i + length]] += weight
         patterns = [pattern for pattern, n in places.items() if n > 1]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for pattern in patterns:
@@ -224,16 +220,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, inner: int = INNER, sh
     )
     shards = max(1, recurring_anchors.count() // shard_rows)
     segments = written(_segments(texts.join(marks, "key"), length, inner, shards, shard_rows), "segments")
-    recurring = (
-        _windows(segments).groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.first("dest").alias("dest")).where("n > 1")
-    )
     tasks = F.col("dest").bitwiseAND(F.lit((1 << SPREAD_BITS) - 1))
-    shard = F.shiftright("dest", SPREAD_BITS)
     own = F.pmod(F.xxhash64("key", "first"), F.greatest(tasks, F.lit(1)))
-    dealt = segments.withColumn("_shard", shard).withColumn("_salt", own)
-    copies = recurring.select(
-        shard.alias("_shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(tasks, F.lit(1)) - 1)).alias("_salt"), "hash"
-    )
+    dealt = segments.withColumn("_shard", F.shiftright("dest", SPREAD_BITS)).withColumn("_salt", own)
+    # Only windows of anchors that are spread over tasks need a count beyond their task, and go to those that hold them.
+    held = _windows(dealt.where(tasks > 1)).groupBy("hash", "_shard", "_salt").agg(F.count(F.lit(1)).alias("n"))
+    met = held.groupBy("hash", "_shard").agg(F.sum("n").alias("n"), F.collect_list("_salt").alias("_salts")).where("n > 1")
+    copies = met.select("_shard", F.explode("_salts").alias("_salt"), "hash")
     runs = (
         dealt.groupBy("_shard", "_salt")
         .cogroup(copies.groupBy("_shard", "_salt"))
