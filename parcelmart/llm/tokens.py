@@ -7,12 +7,13 @@ of a special token are encoded as a whole.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable
 
 import numpy as np
 
 #: Bytes of words and ids in each of two generations, with what Python needs for an entry; words past ``LONG`` are not stored.
-STORED_BYTES, ENTRY, LONG = 48 << 20, 150, 100
+STORED_BYTES, ENTRY, LONG = 96 << 20, 150, 100
 LATIN_END = "\u0250"
 DOTTED_I = "\u0130"  # its lower case is a letter and a mark
 
@@ -38,10 +39,11 @@ class Words(dict):
     When full it becomes the older generation; words met again come back from there, the others are forgotten.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], lead: str, latin: Callable[[str], list[int]]):
+    def __init__(self, encode: Callable[[str], list[int]], lead: str, latin: Callable[[str, bool], bytes]):
         super().__init__()
         self.encode, self.lead, self.latin, self.older, self.size = encode, lead, latin, {}, 0
         self.ends = {mark: id_bytes(encode(mark)) for mark in ".,"}
+        self.line_break = id_bytes(encode("\n"))
 
     def __missing__(self, word: str) -> bytes:
         if self.size >= STORED_BYTES:
@@ -52,17 +54,26 @@ class Words(dict):
             self.size += ENTRY  # the strings are shared
             self[word] = known
             return known
-        if word[-1:] in self.ends and word[-2:-1].isalpha() and word[-2] < LATIN_END and word[-2] != DOTTED_I:
-            ids = self[word[:-1]] + self.ends[word[-1]]
-        elif word.isalpha() and max(word) < LATIN_END and DOTTED_I not in word:
-            ids = id_bytes(self.latin(word))
-        else:
-            ids = id_bytes(self.encode(word if word[:1] == "\n" else self.lead + word))
+        ids = self._ids(word)
         if len(word) <= LONG:
             self.size += ENTRY + len(word) + len(ids)
             self[word] = ids
         return ids
 
+    def _ids(self, word: str) -> bytes:
+        if word.isalpha():
+            if word.isascii() or (max(word) < LATIN_END and DOTTED_I not in word):
+                return self.latin(word, True)
+        elif word[-1:] in self.ends and (word[-2:-1].isascii() or (word[-2] < LATIN_END and word[-2] != DOTTED_I)):
+            if word[-2:-1].isalpha():
+                return self[word[:-1]] + self.ends[word[-1]]
+        if word[:1] != "\n":
+            return id_bytes(self.encode(self.lead + word))
+        rest = word[1:]
+        if rest.isalpha() and max(rest) < LATIN_END and DOTTED_I not in rest:
+            return self.line_break + self.latin(rest, False)  # the break is a piece of its own
+        return id_bytes(self.encode(word))
+
 
 class Encoder:
     """``encoder(text)`` gives the ids as bytes. ``blank_matters``: words carry the blank before them (byte-level)."""
@@ -77,9 +88,12 @@ class Encoder:
         self.blank_matters = blank_matters
         lead = _BYTE_CHARACTERS[" "] if blank_matters else ""
 
-        def latin(word: str) -> list[int]:
+        def latin(word: str, behind_blank: bool) -> bytes:
             """A word of composed Latin letters is not split or normalised beyond case: straight to the merges."""
-            return [t.id for t in merges.tokenize(lead + (word if blank_matters else word.lower()).translate(_LATIN))]
+            shown = word if blank_matters else word.lower()
+            shown = shown if shown.isascii() else shown.translate(_LATIN)
+            ids = [t.id for t in merges.tokenize(lead + shown if behind_blank else shown)]
+            return struct.pack(f"<{len(ids)}I", *ids)
 
         self.words = Words(self.encode, " " if blank_matters else "", latin)
 
