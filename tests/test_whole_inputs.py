@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as entry  # noqa: F401  (registers the queries)
 from parcelqueries.compare import connect, difference
 from parcelqueries.registry import QUERIES
-from parcelmart.sources.staging import COLUMNS
+from parcelmart.sources.staging import COLUMNS, text_schema
+from parcelqueries import load_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
@@ -43,3 +44,11 @@ def test_each_file_with_all_columns(spark, duck, table):
 def test_lines_that_a_second_snapshot_lost(spark, duck):
     wrong, rows = difference(spark, duck, FOLDER, "j8_lines_lost_between_snapshots")
     assert wrong is None and rows
+
+
+def test_only_the_files_asked_for_are_written(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(load_queries, "_once", lambda kind, spark, folder, build: built.append(kind) or load_queries.scratch_path(spark, kind))
+    monkeypatch.setattr(load_queries, "csv_sources", lambda spark, paths: dict.fromkeys(paths, spark.createDataFrame([], text_schema("sellers"))))
+    QUERIES["s1_csv_whole_sellers"](spark, FOLDER)
+    assert built == ["csv-sellers"]
