@@ -3,6 +3,8 @@ from datetime import UTC, datetime
 import pytest
 
 from parcelmart.operators.checks import CheckFailed
+from parcelmart.plans import facts as facts_plan
+from parcelmart.plans import load
 from parcelmart.plans.batch import seed_watermark, select_batch
 from parcelmart.plans.load import core_tables, run_load
 from parcelmart.sources.published import PublishedTables
@@ -263,3 +265,35 @@ def test_defaults_fill_older_folders_only(spark, tmp_path):
     third = tables.draft()
     tables.add_column(third, "t", "kind", "string", "'other'")  # there already
     assert tables.read(third, "t").where("kind = 'old'").count() == 2
+
+
+def test_lines_without_an_order_are_left_out_and_lost_ones_refused(spark, tmp_path):
+    """Also in a first load, which looks up no batch for its lines."""
+    stray = [*LINES, line("nowhere", 1)]
+    run_load(spark, str(tmp_path / "stray"), rows.sources(spark, ORDERS, items=stray), run_ts=FIRST)
+    lines = core_tables(spark, str(tmp_path / "stray"))["fact_order_items"]
+    assert "nowhere" not in {r.order_id for r in lines.collect()} and lines.count() == len(LINES)
+    with pytest.raises(CheckFailed, match="lines of the batch: 7 staged but 6 loaded"):
+        lost = [*stray, line("same", 3, "no such product")]
+        run_load(spark, str(tmp_path / "lost"), rows.sources(spark, ORDERS, items=lost), run_ts=FIRST)
+
+
+def test_a_first_load_shuffles_lines_by_order_last(spark):
+    schema = "order_id string, order_item_id int, product_id string, seller_id string, price int, freight_value int"
+    keys = spark.createDataFrame([("a", 7, 20180101)], "order_id string, customer_key int, purchase_date_key int")
+    products = spark.createDataFrame([("p", 1)], "product_id string, product_key int")
+    sellers = spark.createDataFrame([("s", 2)], "seller_id string, seller_key int")
+    lines = spark.createDataFrame([("a", 1, "p", "s", 1, 1), ("a", 2, "lost", "s", 2, 1), ("other", 1, "p", "s", 4, 1)], schema)
+    found = facts_plan.order_items(lines, keys.hint("merge"), products.hint("merge"), sellers.hint("merge"))
+    assert [(r.order_id, r.order_item_id, r.product_key, r.seller_key) for r in found.collect()] == [("a", 1, 1, 2)]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("SortMergeJoin [order_id") < plan.index("SortMergeJoin [seller_id") < plan.index("SortMergeJoin [product_id")
+
+
+def test_the_second_load_builds_a_dimension_once(spark, tmp_path, monkeypatch):
+    built, kept = [], load.written
+    monkeypatch.setattr(load, "written", lambda frame, label: built.append(label) or kept(frame, label))
+    run_load(spark, str(tmp_path), first_snapshot(spark), run_ts=FIRST)
+    assert "dim_customer" not in built
+    run_load(spark, str(tmp_path), second_snapshot(spark), run_ts=SECOND)
+    assert built.count("dim_customer") == built.count("dim_product") == built.count("dim_seller") == 1

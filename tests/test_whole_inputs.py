@@ -8,7 +8,7 @@ import __spark_entry__ as entry  # noqa: F401  (registers the queries)
 from parcelqueries.compare import connect, difference
 from parcelqueries.registry import QUERIES
 from parcelmart.sources.staging import COLUMNS, text_schema
-from parcelqueries import load_queries
+from parcelqueries import load_queries, mapping
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
@@ -52,3 +52,15 @@ def test_only_the_files_asked_for_are_written(spark, monkeypatch):
     monkeypatch.setattr(load_queries, "csv_sources", lambda spark, paths: dict.fromkeys(paths, spark.createDataFrame([], text_schema("sellers"))))
     QUERIES["s1_csv_whole_sellers"](spark, FOLDER)
     assert built == ["csv-sellers"]
+
+
+def test_lines_meet_their_orders_without_another_shuffle(spark):
+    """The shuffle that numbers the lines is by the id they are joined on, and carries the given columns only."""
+    given = mapping.Given(spark, FOLDER)
+    orders = mapping.orders(given).select("order_id").hint("merge")
+    lines = mapping.order_items(given).join(orders, "order_id", "left_semi")
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(order_id") == plan.count("Exchange ") == 2
+    below = plan[plan.index("Window") :]
+    carried = below[below.index("Project [") : below.index("FileScan")]
+    assert "decimal" not in carried and "l_returnflag" not in carried
