@@ -7,15 +7,18 @@ of a special token are encoded as a whole.
 
 from __future__ import annotations
 
-import struct
+import codecs
+import re
+import sys
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 
 #: Bytes of words and ids in each of two generations, with what Python needs for an entry; words past ``LONG`` are not stored.
-STORED_BYTES, ENTRY, LONG = 96 << 20, 150, 100
-LATIN_END = "\u0250"
-DOTTED_I = "\u0130"  # its lower case is a letter and a mark
+STORED_BYTES, ENTRY, LONG = 176 << 20, 150, 100
+#: What is not a composed Latin letter, or whose lower case is a letter and a mark.
+_other = re.compile("[^\0-\u024f]|\u0130").search
 
 
 def _byte_characters() -> dict[str, str]:
@@ -26,13 +29,22 @@ def _byte_characters() -> dict[str, str]:
 
 
 _BYTE_CHARACTERS = _byte_characters()
-_LATIN = {c: "".join(_BYTE_CHARACTERS[chr(b)] for b in chr(c).encode()) for c in range(128, ord(LATIN_END))}
+#: The same by byte, as a table for a decoder.
+_SHOWN = "".join(_BYTE_CHARACTERS[chr(b)] for b in range(256))
 
 
 def id_bytes(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+def _few_bytes(ids: list[int]) -> bytes:
+    """The same, sooner for a few ids."""
+    return array("I", ids).tobytes()
+
+
+_word_bytes = _few_bytes if sys.byteorder == "little" and array("I").itemsize == 4 else id_bytes
+
+
 class Words(dict):
     """Ids (little-endian, 32 bits each) of a word behind a blank or line break.
 
@@ -62,15 +74,15 @@ class Words(dict):
 
     def _ids(self, word: str) -> bytes:
         if word.isalpha():
-            if word.isascii() or (max(word) < LATIN_END and DOTTED_I not in word):
+            if word.isascii() or not _other(word):
                 return self.latin(word, True)
-        elif word[-1:] in self.ends and (word[-2:-1].isascii() or (word[-2] < LATIN_END and word[-2] != DOTTED_I)):
+        elif word[-1:] in self.ends and (word[-2:-1].isascii() or not _other(word[-2])):
             if word[-2:-1].isalpha():
                 return self[word[:-1]] + self.ends[word[-1]]
         if word[:1] != "\n":
             return id_bytes(self.encode(self.lead + word))
         rest = word[1:]
-        if rest.isalpha() and max(rest) < LATIN_END and DOTTED_I not in rest:
+        if rest.isalpha() and not _other(rest):
             return self.line_break + self.latin(rest, False)  # the break is a piece of its own
         return id_bytes(self.encode(word))
 
@@ -91,9 +103,10 @@ class Encoder:
         def latin(word: str, behind_blank: bool) -> bytes:
             """A word of composed Latin letters is not split or normalised beyond case: straight to the merges."""
             shown = word if blank_matters else word.lower()
-            shown = shown if shown.isascii() else shown.translate(_LATIN)
+            if not shown.isascii():
+                shown = codecs.charmap_decode(shown.encode(), "strict", _SHOWN)[0]
             ids = [t.id for t in merges.tokenize(lead + shown if behind_blank else shown)]
-            return struct.pack(f"<{len(ids)}I", *ids)
+            return _word_bytes(ids)
 
         self.words = Words(self.encode, " " if blank_matters else "", latin)
 
@@ -104,9 +117,10 @@ class Encoder:
             return id_bytes(self.encode(text))
         if not self.blank_matters:
             return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
-        pieces = text.replace("\n", " \n").split(" ")
-        if "" in pieces or "\n" in pieces:  # a run of white space is split in its own way: encode the text as a whole
-            return id_bytes(self.encode(text))
+        marked = text.replace("\n", " \n")
+        if "  " in marked or "\n " in marked or marked[0] == " " or marked[-1] in " \n":
+            return id_bytes(self.encode(text))  # a run of white space is split in its own way: encode the text as a whole
+        pieces = marked.split(" ")
         return id_bytes(self.encode(pieces[0])) + b"".join(map(self.words.__getitem__, pieces[1:]))
 
 

@@ -34,6 +34,16 @@ def test_stored_words_change_no_id(pair):
     agree()
 
 
+def test_every_latin_letter_and_its_neighbours(pair):
+    letters = [chr(c) for c in [*range(0x40, 0x260), 0x3C3, 0x1E9E]]
+    text = " ".join(f"a{x}b {x}a. \n{x}a {x} ba{x}, 7{x}" for x in letters)
+    assert np.frombuffer(pair[1](text), "<u4").tolist() == pair[0](text)
+    for line in (f"a{x}b {x}a.\n{x}a ba{x}, 7{x}" for x in letters):
+        assert np.frombuffer(pair[1](line), "<u4").tolist() == pair[0](line)
+    for odd in (" a", "a ", "a  b", "\na", "a\n", "a\n b", "a \nb", "a\n\nb", " ", "\n", "a"):
+        assert np.frombuffer(pair[1](odd), "<u4").tolist() == pair[0](odd)
+
+
 @settings(max_examples=60, deadline=None, database=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 9), max_size=20))
 def test_every_piece_is_planned_once(histogram):
