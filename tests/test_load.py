@@ -297,3 +297,15 @@ def test_the_second_load_builds_a_dimension_once(spark, tmp_path, monkeypatch):
     assert "dim_customer" not in built
     run_load(spark, str(tmp_path), second_snapshot(spark), run_ts=SECOND)
     assert built.count("dim_customer") == built.count("dim_product") == built.count("dim_seller") == 1
+
+
+def test_rows_of_other_orders_are_left_out_before_a_shuffle(spark, tmp_path):
+    """The orders of a later batch make a filter for the lines, also where they are too many to be broadcast."""
+    spark.range(1000).selectExpr("CAST(id AS STRING) AS order_id", "id AS price").write.parquet(str(tmp_path / "lines"))
+    spark.range(20).selectExpr("CAST(50 * id AS STRING) AS order_id", "'new' AS change_type").write.parquet(str(tmp_path / "batch"))
+    lines, batch = (spark.read.parquet(str(tmp_path / name)) for name in ("lines", "batch"))
+    with load.settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", **load.BATCH_FILTER):
+        found = load.in_batch(lines, batch)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan
+        assert sorted(r.price for r in found.collect()) == [50 * i for i in range(20)]
