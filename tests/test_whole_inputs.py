@@ -8,7 +8,7 @@ import __spark_entry__ as entry  # noqa: F401  (registers the queries)
 from parcelqueries.compare import connect, difference
 from parcelqueries.registry import QUERIES
 from parcelmart.sources.staging import COLUMNS, text_schema
-from parcelqueries import load_queries, mapping
+from parcelqueries import load_queries, mapping, run_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
@@ -64,3 +64,18 @@ def test_lines_meet_their_orders_without_another_shuffle(spark):
     below = plan[plan.index("Window") :]
     carried = below[below.index("Project [") : below.index("FileScan")]
     assert "decimal" not in carried and "l_returnflag" not in carried
+
+
+def test_the_second_model_run_grows_all_trees(spark, monkeypatch):
+    """Both runs of the query train as a run outside it does: with its own limit of trees."""
+    given = []
+
+    def run(spark, root, **settings):
+        given.append(settings)
+        return spark.range(1)
+
+    monkeypatch.setattr(run_queries, "run_load", lambda *_, **__: None)
+    monkeypatch.setattr(run_queries.late_model, "run_late_model", run)
+    monkeypatch.setattr(run_queries, "_once", lambda kind, spark, folder, build: (root := load_queries.scratch_path(spark, kind), build(root))[0])
+    assert QUERIES["s8_second_model_run"](spark, FOLDER).count() == 1
+    assert given == [{}, {}]
