@@ -57,3 +57,12 @@ def test_training_needs_enough_answers_and_late_orders():
         require_trainable({"train": (900, 5), "valid": (60, 1), "test": (40, 0)})
     with pytest.raises(CheckFailed, match="valid set"):
         require_trainable({"train": (960, 5), "test": (40, 1)})
+
+
+def test_parents_keys_are_never_sent_whole(spark):
+    """Files pack keys so well that millions of them look small; they would all pass through the driver."""
+    child = spark.createDataFrame([(1,), (1,), (2,), (7,), (None,)], "key long")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id long")
+    found = checks.orphan_keys(child, "key", parent, "id")
+    assert [r.missing_key for r in found.collect()] == [7]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
