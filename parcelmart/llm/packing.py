@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelmart.llm.common import tidy
-from parcelmart.llm.tokens import encoder
+from parcelmart.llm.tokens import WORDS, encoder
 from parcelmart.operators.ordering import with_row_number
 from parcelmart.shared import written
 
@@ -52,7 +52,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, limit: int = LIMIT, with_
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=False)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(pieces), schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(pieces, WORDS), schema)
 
 
 def _pair_sums(counts: Counter, limit: int) -> dict[int, list[tuple[int, int]]]:

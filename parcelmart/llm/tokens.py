@@ -15,6 +15,10 @@ from collections.abc import Callable
 
 import numpy as np
 
+from parcelmart.llm.common import KEPT
+
+#: The kind of what a worker keeps: the stores of words.
+WORDS = "words"
 #: Bytes of words and ids in each of two generations, with what Python needs for an entry; words past ``LONG`` are not stored.
 STORED_BYTES, ENTRY, LONG = 176 << 20, 150, 100
 #: What is not a composed Latin letter, or whose lower case is a letter and a mark.
@@ -124,11 +128,11 @@ class Encoder:
         return id_bytes(self.encode(pieces[0])) + b"".join(map(self.words.__getitem__, pieces[1:]))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = KEPT.setdefault(WORDS, {})
 
 
 def encoder(path: str, blank_matters: bool) -> Encoder:
-    """One per worker process: its words serve all tasks that run there."""
+    """One per worker process: its words serve all tasks that run there, until tasks of another kind do."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path, blank_matters)
     return _ENCODERS[path]

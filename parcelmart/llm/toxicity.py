@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import give_back
+from parcelmart.llm.common import give_back, let_go
 
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 2000
@@ -288,6 +288,7 @@ def with_toxicity(docs: DataFrame, model: bytes | None, name: str = "_tox", span
 
     @F.pandas_udf("score double" + ", spans array<struct<start:int,end:int,p:double>>" * spans)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        let_go()
         held = pickle.loads(shared.value)
         scores = _Scores(held)
         for texts in batches:

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from parcelmart.llm import common, tokens
 from parcelmart.llm.packing import LIMIT, pack_documents, plan_sequences
 from parcelmart.llm.tokens import Encoder
 
@@ -85,3 +86,14 @@ def test_pieces_are_whole_and_gapless(spark):
 
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], "doc_id long, text string"), WORD_BPE).collect() == []
+
+
+def test_other_work_lets_go_of_the_stored_words():
+    """A worker keeps its words for the tasks that encode, and gives their memory back once it turns to something else."""
+    kept = lambda batches: (b for b in batches if tokens.encoder(WORD_BPE, False)("some words here"))
+    for _ in range(2):
+        assert list(common.tidy(kept, tokens.WORDS)([1, 2])) == [1, 2]
+        assert len(tokens.encoder(WORD_BPE, False).words)
+    first = tokens.encoder(WORD_BPE, False)
+    assert list(common.tidy(iter, tokens.WORDS)([3])) == [3] and tokens.encoder(WORD_BPE, False) is first
+    assert list(common.tidy(iter)([4])) == [4] and not tokens._ENCODERS
