@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import tidy
+from parcelmart.llm.common import let_go, tidy
 from parcelmart.llm.tokens import WORDS, encoder
 from parcelmart.operators.ordering import with_row_number
 from parcelmart.shared import written
@@ -147,6 +147,7 @@ def pack(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(rank: pd.Series) -> pd.DataFrame:
+        let_go()  # the pieces are written: the words that served them are not needed any more
         first, sequence, offset = places.value
         number = rank.to_numpy() - 1
         at = np.searchsorted(first, number, side="right") - 1

@@ -242,6 +242,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     sample = sample.groupBy("doc_id", "_toxic", "_share").agg(one).select("doc_id", "one.text", "_toxic", "_share")
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         rows = pd.concat([f for f in frames] or [pd.DataFrame({"text": [], "doc_id": [], "_toxic": [], "_share": []})])
         rows = rows.sort_values(["doc_id", "text"])
         if rows.empty:
